@@ -1,0 +1,109 @@
+"""Structure of Markdown documents: sections, titles, tables, references."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from inkstrata.functions.text import words
+
+_BY_DOC = Window.partitionBy("doc_id").orderBy("line_no")
+
+
+def sections(lines: DataFrame) -> DataFrame:
+    """A row per heading: doc_id, section, heading, level, line_start, line_end, word_count (heading line included), n_images. Text before the first heading is in none."""
+    level = F.length(F.regexp_extract("line", r"^(#{1,6})\s", 1))
+    marked = lines.withColumn("level", level).withColumn("section", F.sum((level > 0).cast("int")).over(_BY_DOC))
+    return (
+        marked.filter("section > 0")
+        .groupBy("doc_id", "section")
+        .agg(
+            F.max(F.when(F.col("level") > 0, F.regexp_replace("line", r"^#{1,6}\s+", ""))).alias("heading"),
+            F.max("level").alias("level"),
+            F.min("line_no").alias("line_start"),
+            F.max("line_no").alias("line_end"),
+            F.sum(F.size(words(F.col("line")))).cast("long").alias("word_count"),
+            F.sum(F.regexp_count("line", F.lit(r"!\[[^\]]*\]\("))).cast("long").alias("n_images"),
+        )
+    )
+
+
+def heading_jumps(lines: DataFrame) -> DataFrame:
+    """Headings more than one level below the heading before."""
+    h = lines.withColumn("level", F.length(F.regexp_extract("line", r"^(#{1,6})\s", 1))).filter("level > 0")
+    h = h.withColumn("before", F.lag("level").over(_BY_DOC))
+    return h.filter("level > before + 1").select("doc_id", "line_no", F.col("before").alias("from_level"), F.col("level").alias("to_level"))
+
+
+def section_of_page(sections: DataFrame, pages: DataFrame) -> DataFrame:
+    """pages (doc_id, page, total): the section that holds the page's estimated line, else the nearest that ends before it."""
+    ends = sections.groupBy("doc_id").agg(F.max("line_end").alias("last"))
+    at = pages.join(ends, "doc_id").withColumn("est", F.floor(F.col("page") * F.col("last") / F.col("total")))
+    hit = at.join(sections.select("doc_id", "heading", "line_start", "line_end"), "doc_id")
+    inside = F.col("est").between(F.col("line_start"), F.col("line_end"))
+    rank = F.when(inside, F.struct(F.lit(1), -F.col("line_start"))).when(F.col("line_end") <= F.col("est"), F.struct(F.lit(0), F.col("line_end")))
+    return hit.groupBy("doc_id", "page").agg(F.max_by("heading", rank).alias("heading"))
+
+
+def last_heading_before(headings: DataFrame, points: DataFrame) -> DataFrame:
+    """As-of join: for points (doc_id, page) the heading (doc_id, page, heading) of the greatest page at or before it."""
+    both = headings.select("doc_id", "page", "heading", F.lit(0).alias("side")).unionByName(points.select("doc_id", "page", F.lit(None).cast("string").alias("heading"), F.lit(1).alias("side")))
+    w = Window.partitionBy("doc_id").orderBy("page", "side").rowsBetween(Window.unboundedPreceding, 0)
+    return both.withColumn("heading", F.last("heading", True).over(w)).filter("side = 1").drop("side")
+
+
+def title(lines: DataFrame, rejected: list[str], first: int = 80) -> DataFrame:
+    """The first level-1 heading among the first lines that isn't short or institutional."""
+    h = lines.filter((F.col("line_no") <= first) & F.col("line").rlike(r"^# ")).withColumn("t", F.trim(F.substring("line", 3, 100000)))
+    ok = F.length("t") > 5
+    for r in rejected:
+        ok = ok & ~F.lower("t").contains(r)
+    return h.filter(ok).groupBy("doc_id").agg(F.min_by("t", "line_no").alias("title"))
+
+
+def table_blocks(lines: DataFrame) -> DataFrame:
+    """Maximal runs of lines that begin and end with a pipe: doc_id, table_no, start, end, n_rows."""
+    t = lines.filter(F.col("line").rlike(r"^\s*\|.*\|\s*$"))
+    t = t.withColumn("island", F.col("line_no") - F.row_number().over(_BY_DOC))
+    b = t.groupBy("doc_id", "island").agg(F.min("line_no").alias("start"), F.max("line_no").alias("end"), F.count(F.lit(1)).alias("n_rows"), F.min(F.size(F.split("line", r"\|")) - 2).alias("min_cols"), F.max(F.size(F.split("line", r"\|")) - 2).alias("max_cols"))
+    return b.withColumn("table_no", F.row_number().over(Window.partitionBy("doc_id").orderBy("start"))).drop("island")
+
+
+def numeric_tokens(rows: DataFrame) -> DataFrame:
+    """rows (doc_id, row): numbers in each cell, where dates, ranges and sizes count once: doc_id, cell_no, n."""
+    cells = rows.select("doc_id", F.posexplode(F.expr(r"slice(split(row, '\\|'), 2, size(split(row, '\\|')) - 2)")))
+    x = F.regexp_replace("col", r"\d{4}-\d{2}-\d{2}", "7")
+    x = F.regexp_replace(x, r"\d+(\.\d+)?\s*[-x]\s*\d+(\.\d+)?", "7")
+    return cells.select("doc_id", (F.col("pos") + 1).alias("cell_no"), F.regexp_count(x, F.lit(r"\d+(\.\d+)?")).cast("long").alias("n"))
+
+
+def unexplained_tables(lines: DataFrame, within: int = 49) -> DataFrame:
+    """First mentions of `Table N` without a pipe row in the lines that follow: doc_id, table_ref, line_no."""
+    m = lines.withColumn("ref", F.regexp_extract("line", r"Table (\d+)", 1)).filter("ref <> ''").groupBy("doc_id", F.col("ref").cast("int").alias("table_ref")).agg(F.min("line_no").alias("line_no"))
+    pipes = lines.filter(F.col("line").startswith("|")).select("doc_id", F.col("line_no").alias("at"))
+    near = (m.doc_id == pipes.doc_id) & pipes["at"].between(m.line_no + 1, m.line_no + within)
+    return m.join(pipes, near, "left_anti")
+
+
+def joined_references(lines: DataFrame) -> DataFrame:
+    """After a References heading, continuation lines joined to the entry `[n]` or `n.` they belong to: doc_id, entry_no, entry."""
+    flag = F.col("line").rlike(r"(?i)^(#{1,6} )?(references?|bibliography)\s*$").cast("int")
+    refs = lines.withColumn("in", F.sum(flag).over(_BY_DOC)).filter((F.col("in") > 0) & (flag == 0) & (F.trim("line") != ""))
+    refs = refs.withColumn("line", F.regexp_replace("line", r"^#{1,6} ", ""))
+    new = F.col("line").rlike(r"^(\[\d+\]|\d+\.)").cast("int")
+    refs = refs.withColumn("entry_no", F.sum(new).over(_BY_DOC)).filter("entry_no > 0")
+    got = refs.groupBy("doc_id", "entry_no").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("x"))
+    return got.select("doc_id", "entry_no", F.array_join("x.line", " ").alias("entry"))
+
+
+def reference_gaps(docs: DataFrame, top: int = 9999) -> DataFrame:
+    """Numbers cited as [n], [a-b] (at most 50 wide) or [a,b]; years dropped; the span and what is missing in it."""
+    refs = F.regexp_extract_all("text", F.lit(r"\[(\d+(?:\s*[-,]\s*\d+)*)\]"), 1)
+    groups = docs.select("doc_id", F.explode(refs).alias("g")).select("doc_id", F.explode(F.split("g", r"\s*,\s*")).alias("p"))
+    lo, hi = F.split("p", r"\s*-\s*")[0].cast("int"), F.element_at(F.split("p", r"\s*-\s*"), -1).cast("int")
+    n = groups.withColumn("lo", lo).withColumn("hi", hi).filter(f"lo between 1 and {top} and hi between lo and lo + 50")
+    n = n.select("doc_id", F.explode(F.sequence("lo", "hi")).alias("n")).filter("n not between 1900 and 2099")
+    s = n.groupBy("doc_id").agg(F.array_sort(F.collect_set("n")).alias("s"))
+    gaps = F.array_except(F.sequence(F.array_min("s"), F.array_max("s")), F.col("s"))
+    return s.select("doc_id", F.array_min("s").alias("first_ref"), F.array_max("s").alias("last_ref"), F.array_join(F.array_sort(gaps), ",").alias("missing"))
