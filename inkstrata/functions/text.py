@@ -35,7 +35,7 @@ def repaired_extraction(text: Column) -> Column:
         x = F.regexp_replace(x, rf"(?m)^{h}[ \t]*$", f"## {h.title()}")
     x = F.regexp_replace(x, r"R\s*\[2\]", "R^2")
     x = F.regexp_replace(x, r"(?m)^[ \t]*`o`[ \t]+", "- ")
-    x = F.regexp_replace(x, r"(?m)^>(\d)", r"\\\\>$1")
+    x = F.regexp_replace(x, r"(?m)^>(\d)", r"\\>$1")
     for c in COMPOUNDS:
         merged = c.replace("-", "")
         x = F.replace(F.replace(x, F.lit(merged), F.lit(c)), F.lit(merged.title()), F.lit(c.title()))

@@ -8,13 +8,14 @@ from pyspark.sql.window import Window
 
 from inkstrata.functions.text import words
 
-_BY_DOC = Window.partitionBy("doc_id").orderBy("line_no")
+def _by_doc():
+    return Window.partitionBy("doc_id").orderBy("line_no")
 
 
 def sections(lines: DataFrame) -> DataFrame:
     """A row per heading: doc_id, section, heading, level, line_start, line_end, word_count (heading line included), n_images. Text before the first heading is in none."""
     level = F.length(F.regexp_extract("line", r"^(#{1,6})\s", 1))
-    marked = lines.withColumn("level", level).withColumn("section", F.sum((level > 0).cast("int")).over(_BY_DOC))
+    marked = lines.withColumn("level", level).withColumn("section", F.sum((level > 0).cast("int")).over(_by_doc()))
     return (
         marked.filter("section > 0")
         .groupBy("doc_id", "section")
@@ -32,7 +33,7 @@ def sections(lines: DataFrame) -> DataFrame:
 def heading_jumps(lines: DataFrame) -> DataFrame:
     """Headings more than one level below the heading before."""
     h = lines.withColumn("level", F.length(F.regexp_extract("line", r"^(#{1,6})\s", 1))).filter("level > 0")
-    h = h.withColumn("before", F.lag("level").over(_BY_DOC))
+    h = h.withColumn("before", F.lag("level").over(_by_doc()))
     return h.filter("level > before + 1").select("doc_id", "line_no", F.col("before").alias("from_level"), F.col("level").alias("to_level"))
 
 
@@ -42,7 +43,7 @@ def section_of_page(sections: DataFrame, pages: DataFrame) -> DataFrame:
     at = pages.join(ends, "doc_id").withColumn("est", F.floor(F.col("page") * F.col("last") / F.col("total")))
     hit = at.join(sections.select("doc_id", "heading", "line_start", "line_end"), "doc_id")
     inside = F.col("est").between(F.col("line_start"), F.col("line_end"))
-    rank = F.when(inside, F.struct(F.lit(1), -F.col("line_start"))).when(F.col("line_end") <= F.col("est"), F.struct(F.lit(0), F.col("line_end")))
+    rank = F.when(inside, F.struct(F.lit(1).alias("in"), (-F.col("line_start")).alias("near"))).when(F.col("line_end") <= F.col("est"), F.struct(F.lit(0).alias("in"), F.col("line_end").alias("near")))
     return hit.groupBy("doc_id", "page").agg(F.max_by("heading", rank).alias("heading"))
 
 
@@ -65,7 +66,7 @@ def title(lines: DataFrame, rejected: list[str], first: int = 80) -> DataFrame:
 def table_blocks(lines: DataFrame) -> DataFrame:
     """Maximal runs of lines that begin and end with a pipe: doc_id, table_no, start, end, n_rows."""
     t = lines.filter(F.col("line").rlike(r"^\s*\|.*\|\s*$"))
-    t = t.withColumn("island", F.col("line_no") - F.row_number().over(_BY_DOC))
+    t = t.withColumn("island", F.col("line_no") - F.row_number().over(_by_doc()))
     b = t.groupBy("doc_id", "island").agg(F.min("line_no").alias("start"), F.max("line_no").alias("end"), F.count(F.lit(1)).alias("n_rows"), F.min(F.size(F.split("line", r"\|")) - 2).alias("min_cols"), F.max(F.size(F.split("line", r"\|")) - 2).alias("max_cols"))
     return b.withColumn("table_no", F.row_number().over(Window.partitionBy("doc_id").orderBy("start"))).drop("island")
 
@@ -89,10 +90,10 @@ def unexplained_tables(lines: DataFrame, within: int = 49) -> DataFrame:
 def joined_references(lines: DataFrame) -> DataFrame:
     """After a References heading, continuation lines joined to the entry `[n]` or `n.` they belong to: doc_id, entry_no, entry."""
     flag = F.col("line").rlike(r"(?i)^(#{1,6} )?(references?|bibliography)\s*$").cast("int")
-    refs = lines.withColumn("in", F.sum(flag).over(_BY_DOC)).filter((F.col("in") > 0) & (flag == 0) & (F.trim("line") != ""))
+    refs = lines.withColumn("in", F.sum(flag).over(_by_doc())).filter((F.col("in") > 0) & (flag == 0) & (F.trim("line") != ""))
     refs = refs.withColumn("line", F.regexp_replace("line", r"^#{1,6} ", ""))
     new = F.col("line").rlike(r"^(\[\d+\]|\d+\.)").cast("int")
-    refs = refs.withColumn("entry_no", F.sum(new).over(_BY_DOC)).filter("entry_no > 0")
+    refs = refs.withColumn("entry_no", F.sum(new).over(_by_doc())).filter("entry_no > 0")
     got = refs.groupBy("doc_id", "entry_no").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("x"))
     return got.select("doc_id", "entry_no", F.array_join("x.line", " ").alias("entry"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from inkstrata.plans.catalog import ORACLE_SQL, QUERIES
+
 FLAGSHIP = "sections_from_pages"
+
+__all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES"]
