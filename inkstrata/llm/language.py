@@ -53,7 +53,8 @@ def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _automaton(s: list[int], n_symbols: int) -> np.ndarray:
-    """The parser of a suffix automaton of s: entry [state, symbol] is 2 * next state, plus 1 where a phrase ends before the symbol."""
+    """The parser of a suffix automaton of s: entry [state, symbol] is 4 * next state, plus the
+    phrases that end: one before a symbol that goes on no further, and one with a symbol that the sample does not have."""
     link, length, nxt = [-1], [0], [{}]
     last = 0
     for c in s:
@@ -82,12 +83,11 @@ def _automaton(s: list[int], n_symbols: int) -> np.ndarray:
     first = np.zeros(n_symbols, np.int64)
     for c, t in nxt[0].items():
         first[c] = t
-    out = np.tile(first * 2 + 1, (len(nxt), 1))
-    out[0] = first * 2
-    out[0, first == 0] = 1  # a symbol that the sample doesn't have is a phrase of its own
+    out = np.tile(first * 4 + np.where(first, 1, 2), (len(nxt), 1))
+    out[0] = first * 4 + np.where(first, 0, 1)
     for state, row in enumerate(nxt):
         for c, t in row.items():
-            out[state, c] = 2 * t
+            out[state, c] = 4 * t
     return out
 
 
@@ -124,10 +124,10 @@ def _built(key: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     tables, roots, at = [], [], 0
     for x in texts:
         t = _automaton(list(x), n)
-        tables.append(((t >> 1) * n + at) * 2 + (t & 1))
+        tables.append(((t >> 2) * n + at) * 4 + (t & 3))
         roots.append(at)
         at += t.size
-    return np.concatenate([t.ravel() for t in tables]).astype(np.int32 if at < 2**30 else np.int64), np.array(roots), np.array([math.log2(len(x) + 2) for x in texts])
+    return np.concatenate([t.ravel() for t in tables]).astype(np.int32 if at < 2**29 else np.int64), np.array(roots), np.array([math.log2(len(x) + 2) for x in texts])
 
 
 def phrases(symbols: np.ndarray, lens: np.ndarray, table: np.ndarray, roots: np.ndarray) -> np.ndarray:
@@ -144,8 +144,8 @@ def phrases(symbols: np.ndarray, lens: np.ndarray, table: np.ndarray, roots: np.
     active = len(size) - np.searchsorted(size[::-1], np.arange(size[0] if len(size) else 0), "right")
     for t, k in enumerate(active.tolist()):
         v = table[state[:, :k] + symbols[starts[:k] + t]]
-        count[:, :k] += v & 1
-        state[:, :k] = v >> 1
+        count[:, :k] += v & 3
+        state[:, :k] = v >> 2
     count += state != roots[:, None]  # the last phrase
     out = np.zeros((len(roots), len(lens)), np.int64)
     for i in range(len(roots)):
