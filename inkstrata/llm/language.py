@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from inkstrata.llm import workers
 from inkstrata.llm.vector import slices
 
 SAMPLE_ROWS = 60  # labelled rows for each language that the model is fitted on
@@ -116,7 +117,6 @@ class Model:
         return tuple(self.langs), tuple(self.letters), tuple(self.texts[k] for k in self.langs)
 
 
-@lru_cache(2)
 def _built(key: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All languages' tables in one array, the offset of each language's root, and log2 of its training length."""
     langs, letters, texts = key
@@ -156,12 +156,12 @@ def phrases(symbols: np.ndarray, lens: np.ndarray, table: np.ndarray, roots: np.
 def predict(texts: list[str | None], model: Model, key: tuple | None = None) -> list[tuple[str, float, float]]:
     """(language, score, bits a symbol) of each text: fewest phrases times log2 of the training length wins, by name on ties."""
     key = key or model.key()
-    table, roots, logs = _built(key)
+    table, roots, logs = workers.model(("parsers", key), lambda: _built(key))
     codes, lens = _codes([x or "" for x in texts])
     sums = np.r_[0, np.cumsum(codes > 0)]
     ends = np.cumsum(lens)
     letters = sums[ends] - sums[ends - lens]
-    bits = phrases(_symbols(key)[codes], lens, table, roots) * logs[:, None] / np.maximum(1, lens)
+    bits = phrases(workers.model(("symbols", key), lambda: _symbols(key))[codes], lens, table, roots) * logs[:, None] / np.maximum(1, lens)
     best = bits.argmin(axis=0)
     out = []
     for i, n in enumerate(letters.tolist()):
@@ -173,7 +173,6 @@ def predict(texts: list[str | None], model: Model, key: tuple | None = None) ->
     return out
 
 
-@lru_cache(2)
 def _symbols(key: tuple) -> np.ndarray:
     lut = np.zeros(0x110000, np.uint8)
     lut[0] = SPACE
@@ -231,7 +230,7 @@ def identify(docs: DataFrame, model: Model | None = None, **fit_options) -> Data
 
     names = [c for c in schema.names if c not in ("lang_pred", "score", "bits")]
     ddl = docs.select(names).schema.add("lang_pred", "string").add("score", "double").add("bits", "double")
-    return docs.select(names).mapInArrow(run, ddl)
+    return docs.select(names).mapInArrow(workers.tidy("language", run), ddl)
 
 
 def held_out(doc_id):

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkstrata.llm import workers
 from inkstrata.llm.components import components
 from inkstrata.llm.store import small, written
 from inkstrata.llm.vector import SPACES, mix, ngram_hashes, slices, word_hashes, word_spans
@@ -18,6 +19,7 @@ SHINGLE = 5
 BANDS, ROWS = 24, 5  # two sets at a similarity of 0.85 share no band with a chance of 1e-6
 BITS = 4  # of each minimum that the packed signature keeps: 16 minima in a long
 LONGS = BANDS * ROWS * BITS // 64 + (BANDS * ROWS * BITS % 64 > 0)
+SLICE = 1_000_000  # bytes of text that are held as arrays at once
 BLOCK = 400_000  # shingles of a block of sets that are compared in one task
 _rng = np.random.default_rng(5)
 _A = _rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
@@ -26,7 +28,7 @@ _B = _rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
 
 def shingle_sets(column: pa.Array) -> Iterator[list[np.ndarray]]:
     """The sorted distinct shingle hashes of each text, for some rows at a time."""
-    for _, _, data, offsets in slices(column):
+    for _, _, data, offsets in slices(column, SLICE):
         starts, ends, first = word_spans(data, offsets, SPACES)
         words = word_hashes(data, starts, ends)
         grams = ngram_hashes(words, SHINGLE)
@@ -195,7 +197,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, least_estimate: float
     lost and no group's pairs are listed.
     """
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("row_id"))
-    signed = written(text.select("row_id", "doc_id", "text").mapInArrow(_sign, _SIGNED_DDL), "signed")
+    signed = written(text.select("row_id", "doc_id", "text").mapInArrow(workers.tidy("near_dedup", _sign), _SIGNED_DDL), "signed")
     filled = signed.filter("n_shingles > 0")
     classes = written(
         filled.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("least_doc"), F.min("row_id").alias("id"), F.count(F.lit(1)).alias("n")),
@@ -209,7 +211,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, least_estimate: float
     buckets = written(rows.join(sizes, "key"), "buckets")
     involved = written(buckets.select("id").distinct(), "involved")
     wanted = text.join(small(involved.withColumnRenamed("id", "row_id"), broadcast_rows), "row_id", "left_semi")
-    hashes = wanted.select(F.col("row_id").alias("id"), "text").mapInArrow(_sets, "id long, hashes array<long>")
+    hashes = wanted.select(F.col("row_id").alias("id"), "text").mapInArrow(workers.tidy("near_dedup", _sets), "id long, hashes array<long>")
     sets = written(hashes.join(shapes.select("id", "sig"), "id"), "sets")
 
     # Round 1: each class against the hubs of its buckets

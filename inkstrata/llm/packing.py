@@ -6,13 +6,13 @@ import heapq
 import unicodedata
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from inkstrata.llm import workers
 from inkstrata.llm.vector import slices
 
 LENGTH = 2048
@@ -96,7 +96,6 @@ class Encoder:
         return [b"".join(map(look.__getitem__, parts)) for parts in cut]
 
 
-@lru_cache(1)
 def _encoder(path: str) -> Encoder:
     import os
 
@@ -169,7 +168,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, length: int = LENGTH
     repeated doc_id are packed as documents of their own; an empty table gives no pieces; other columns are ignored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer_path)
+        encoder = workers.model(("encoder", tokenizer_path), lambda: _encoder(tokenizer_path))
         base, sequence = TaskContext.get().partitionId() << 40, 0
         ids: list[int | None] = []
         tokens: list[bytes] = []
@@ -198,4 +197,4 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, length: int = LENGTH
         if tokens:
             yield from flush()
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, _DDL)
+    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(workers.tidy("packing", run), _DDL)
