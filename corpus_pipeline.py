@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from inkstrata.llm import decontaminate, exact_dedup, language, near_dedup, packing
 from inkstrata.llm.queries import tokenizer_path
-from inkstrata.llm.store import table, written
+from inkstrata.llm.store import bounded_batches, table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language is found get it as lang; those without any letter are rejected."""
+    bounded_batches(spark)
     docs = docs.select(*COLUMNS)
     found = language.identify(docs, language.fit(docs)).filter(F.col("lang_pred") != language.UNDETERMINED)
     return found.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
@@ -28,6 +29,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    bounded_batches(spark)
     docs = docs.select(*COLUMNS)
     gone = written(near_dedup.near_duplicates(docs).filter("not kept").select("doc_id"), "near_copies")
     return docs.join(F.broadcast(gone) if gone.count() <= 1_000_000 else gone, "doc_id", "left_anti").select(*COLUMNS)
@@ -43,6 +45,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in training sequences."""
+    bounded_batches(spark)
     return packing.pack_documents(docs, tokenizer_path())
 
 

@@ -46,6 +46,14 @@ def drop(df: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def bounded_batches(spark: SparkSession, most: str = "4m") -> None:
+    """From now on the session's Arrow batches end at most bytes, unless it was given a bound of its own: a batch of 10,000 texts
+    is held several times over, by the JVM and by its worker."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.sparkContext.getConf().contains(key):
+        spark.conf.set(key, most)
+
+
 def small(df: DataFrame, most_rows: int) -> DataFrame:
     """df with a broadcast hint if its count is at most most_rows; else as it is, and the
     join shuffles. df should be cheap to count, such as a written table."""
