@@ -148,3 +148,17 @@ def relinked_images(text: Column, names: Column, folder: Column) -> Column:
         return out
 
     return F.array_join(F.transform(pieces, edit), "")
+
+
+# What repairs leave alone: fenced code, comments, addresses with and without a scheme
+CODE_ZONE, COMMENT_ZONE, URL_ZONE = r"(?s:```.*?```)", r"(?s:<!--.*?-->)", r"https?://\S+"
+HOST_ZONES = [r"\b(?!Table\b|Fig\b|Eq\b|Ref\b)\w+\.\w{2,4}/\S+", r"\b\w+\.(?:com|org|net|edu|gov|io|uk|de|no|eu|se|dk|nl|fr|ch|at|es|it)\b"]
+ZONES = "|".join([CODE_ZONE, COMMENT_ZONE, URL_ZONE, *HOST_ZONES])
+
+
+def outside_zones(text: Column, edit) -> Column:
+    """text with edit (Column to Column) applied to each stretch between protected zones, which stay as they are; of
+    zones that overlap the first protects. Null stays null."""
+    kept = F.regexp_extract_all(text, F.lit(ZONES), F.lit(0))
+    between = F.transform(F.split(text, ZONES, -1), edit)
+    return F.array_join(F.transform(between, lambda s, i: F.concat(s, F.coalesce(F.get(kept, i), F.lit("")))), "")

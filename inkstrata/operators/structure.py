@@ -108,3 +108,45 @@ def reference_gaps(docs: DataFrame, top: int = 9999) -> DataFrame:
     s = n.groupBy("doc_id").agg(F.array_sort(F.collect_set("n")).alias("s"))
     gaps = F.array_except(F.sequence(F.array_min("s"), F.array_max("s")), F.col("s"))
     return s.select("doc_id", F.array_min("s").alias("first_ref"), F.array_max("s").alias("last_ref"), F.array_join(F.array_sort(gaps), ",").alias("missing"))
+
+
+# Headings that are a publisher's, and those of major sections; whole headings, in any case
+BOILERPLATE = [r"ScienceDirect", r"ORIGINAL\s+RESEARCH", r"ISPOR\s+Report", r"Elsevier", r"Taylor\s*&\s*Francis", r"Springer", r"Wiley", r"BMJ", r"Oxford\s+Academic"]
+MAJOR = [r"Introduction", r"Background", r"Methods", r"Methodology", r"Materials?\s+and\s+Methods", r"Results", r"Discussion", r"Conclusions?", r"Summary", r"References", r"Acknowledgm?ents?", r"Transparency", r"Supplementary\s+Materials?", r"Appendix", r"ABSTRACT", r"Keywords?", r"Disclosures?", r"Funding", r"Limitations", r"Conflicts?\s+of\s+Interest", r"Author\s+Contributions?", r"Data\s+Availability", r"Ethics"]
+
+
+def whole(forms: list[str]) -> str:
+    return f"(?i)^({'|'.join(forms)})$"
+
+
+def releveled(lines: DataFrame) -> DataFrame:
+    """lines (doc_id, line_no, line) with headings of levels 1 to 4 by their role; only headings are shuffled.
+
+    A publisher's heading becomes an empty line. The title gets level 1: the first heading of over 15 characters, unless a
+    shorter major section comes before it; then the heading before that section or, without one, that section. Major
+    sections and other headings of level 1 get 2. A heading deeper than the one before it gets that one's new level plus 1, and
+    any other 3; none exceeds 4. Without a long heading or a major section there is no title. So a run of ever deeper headings counts on from the heading it starts at.
+    Null lines are no headings."""
+    form = r"^(#{1,6})\s+(.+)$"
+    is_heading = F.coalesce(F.col("line").rlike(form), F.lit(False))
+    heads = lines.filter(is_heading).select("doc_id", "line_no", F.length(F.regexp_extract("line", form, 1)).alias("level"), F.trim(F.regexp_extract("line", form, 2)).alias("heading"))
+    heads = heads.withColumn("plain", F.trim(F.regexp_replace("heading", r"^[* ]+|[* ]+$", "")))
+    boilerplate = F.col("plain").rlike(whole(BOILERPLATE))
+    heads = heads.withColumn("major", F.col("plain").rlike(whole(MAJOR)))
+    kept = heads.filter(~boilerplate).withColumn("n", F.row_number().over(_by_doc()))
+    every = Window.partitionBy("doc_id")
+    telling = F.when((F.length("plain") > 15) | F.col("major"), F.struct("n", (F.length("plain") > 15).alias("long")))
+    kept = kept.withColumn("first", F.min(telling).over(every))
+    title = F.when(F.col("first.long"), F.col("first.n")).when(F.col("first.n") > 1, F.col("first.n") - 1).otherwise(F.col("first.n"))
+    is_title = F.coalesce(F.col("n") == title, F.lit(False))
+    top = F.when(is_title, 1).when(F.col("major") | (F.col("level") == 1), 2)
+    kept = kept.withColumn("top", top).withColumn("before", F.lag("level").over(_by_doc()))
+    start = F.when(F.col("top").isNotNull(), F.col("top")).when(F.coalesce(F.col("level") <= F.col("before"), F.lit(True)), 3)
+    kept = kept.withColumn("start", F.when(start.isNotNull(), F.struct(start.alias("at"), "n")))
+    kept = kept.withColumn("run", F.last("start", ignorenulls=True).over(_by_doc()))
+    new = F.least(F.col("run.at") + F.col("n") - F.col("run.n"), F.lit(4))
+    return (
+        lines.filter(~is_heading).select("doc_id", "line_no", "line")
+        .unionByName(heads.filter(boilerplate).select("doc_id", "line_no", F.lit("").alias("line")))
+        .unionByName(kept.select("doc_id", "line_no", F.concat(F.repeat(F.lit("#"), new), F.lit(" "), "heading").alias("line")))
+    )

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkstrata.functions import lines as L
-from inkstrata.functions.text import LIGATURES
+from inkstrata.functions.text import LIGATURES, expanded_ligatures
 from inkstrata.operators import images as I
 from inkstrata.operators import metadata as M
+from inkstrata.operators import structure as S
 from inkstrata.plans.catalog import _SECTIONS, _TERMS, _domain_sql, _md_sql, _quoted, query
 from inkstrata.plans.fixtures import Fixture
 from inkstrata.sources import tables as T
@@ -293,3 +294,46 @@ a as (select doc_id, i, 0 late, line from l union all select f.doc_id, f.e, 1, '
 )
 def collapsed_tables_annotated(spark, sf_dir):
     return I.annotated_tables(T.lines(TABLES.spark(spark), "text"), FLAGGED.spark(spark))
+
+
+OUTLINE = Fixture(
+    "doc_id long, md string",
+    (
+        (1, "# ScienceDirect\n# **A long enough title here**\ntext\n#### Methods\n##### Sample\n###### Site\n###### Ward\n## Costs\n# Other top\n### Below\n#### Deeper\n##### Deepest"),
+        (2, "### Short\n## **Introduction**\n### One\n## Two\n##### Three"),
+        (3, "## Results\n### Elsevier\n### A heading after the results"),
+        (4, "## Ab\n### Cd\n### Ef\n#### Gh"),
+        (5, "no heading\n#none"),
+        (6, ""),
+        (7, None),
+    ),
+)
+_OUTLINE_SQL = rf"""with recursive s as (select * from {OUTLINE.sql()} union all select doc_id + 100, md from ({_md_sql()}) m_),
+l as (select doc_id, unnest(range(1, len(string_split(md, chr(10))) + 1)) line_no, unnest(string_split(md, chr(10))) line from s),
+h as (select *, length(regexp_extract(line, '^(#{{1,6}})\s+(.+)$', 1)) lv, trim(regexp_extract(line, '^(#{{1,6}})\s+(.+)$', 2)) t, trim(regexp_extract(line, '^(#{{1,6}})\s+(.+)$', 2), '* ') p from l),
+c as (select *, regexp_matches(p, {_quoted(S.whole(S.BOILERPLATE))}) b, regexp_matches(p, {_quoted(S.whole(S.MAJOR))}) m from h where lv > 0),
+k as (select *, row_number() over (partition by doc_id order by line_no) n from c where not b),
+e as (select doc_id, min(n) n from k where length(p) > 15 or m group by doc_id),
+w as (select k.doc_id, case when length(p) > 15 or k.n = 1 then k.n else k.n - 1 end n from k join e on k.doc_id = e.doc_id and k.n = e.n),
+r as (select k.*, w.n is not null title from k left join w on k.doc_id = w.doc_id and k.n = w.n),
+f as (select doc_id, line_no, n, lv, t, case when title then 1 when m or lv = 1 then 2 else 3 end target from r where n = 1
+union all select r.doc_id, r.line_no, r.n, r.lv, r.t, case when title then 1 when m or r.lv = 1 then 2 when r.lv > f.lv then least(f.target + 1, 4) else 3 end from f join r on f.doc_id = r.doc_id and r.n = f.n + 1)
+select h.doc_id, h.line_no, case when f.n is not null then repeat('#', f.target::int) || ' ' || f.t when h.lv > 0 then '' else h.line end line from h left join f on h.doc_id = f.doc_id and h.line_no = f.line_no"""
+
+
+@query(_OUTLINE_SQL, "doc_id bigint, line_no bigint, line varchar")
+def headings_releveled(spark, sf_dir):
+    pages = T.page_markdown(spark, sf_dir).select((F.col("doc_id") + 100).alias("doc_id"), "md")
+    return S.releveled(T.lines(OUTLINE.spark(spark).unionByName(pages)))
+
+
+ZONED = Fixture("doc_id long, text string", ((1, "the  ﬁrst\n```\ncode  ﬁx\n```\nand <!-- a  ﬁ\nb --> then  ﬁn"), (2, "```a  b```  <!-- c  d -->"), (3, "see https://x.org/a  ﬁ and sub.site.com  or  ﬂow"), (4, "```open  fence  ﬁ"), (5, ""), (6, None)))
+_ZONES_SQL = _quoted("|".join([L.CODE_ZONE, L.COMMENT_ZONE, L.URL_ZONE, L.HOST_ZONES[0].replace(r"(?!Table\b|Fig\b|Eq\b|Ref\b)", ""), L.HOST_ZONES[1]]))  # without the look-ahead, which no row needs
+
+
+@query(
+    f"""with s as (select * from {ZONED.sql()}), c as (select doc_id, text, regexp_extract_all(text, {_ZONES_SQL}) z, string_split_regex(text, {_ZONES_SQL}) o from s)
+select doc_id, case when text is not null then array_to_string(list_transform(o, lambda x, i: regexp_replace(replace(replace(x, 'ﬁ', 'fi'), 'ﬂ', 'fl'), '  +', ' ', 'g') || coalesce(z[i], '')), '') end as text from c"""
+)
+def repaired_outside_zones(spark, sf_dir):
+    return ZONED.spark(spark).select("doc_id", L.outside_zones(F.col("text"), lambda x: F.regexp_replace(expanded_ligatures(x), "  +", " ")).alias("text"))

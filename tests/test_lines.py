@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from inkstrata.functions import lines as L
 from inkstrata.operators import images as I
 from inkstrata.operators import metadata as M
+from inkstrata.operators import structure as S
 
 
 def one(spark, value, f, ddl="x string"):
@@ -52,3 +53,21 @@ def test_front_matter(spark):
 def test_blank_needs_known_measurements(spark):
     d = spark.createDataFrame([(None,) * 7, (1500, 9, 9, 100.0, 50.0, 90, None), (9000, 900, 900, 100.0, 60.0, 90, None), (9000, 90, 90, 100.0, 1.0, 90, 100.0)], "size_bytes long, width long, height long, mean double, std double, colors long, alpha double")
     assert [r[0] for r in d.select(I.is_blank(*[F.col(c) for c in I.PIXELS])).collect()] == [False, True, False, False]
+
+
+def test_zones_are_left_alone(spark):
+    upper = lambda x: L.outside_zones(x, F.upper)
+    assert one(spark, "a `b` ```c``` d <!-- e\n--> f http://g/h i", upper) == "A `B` ```c``` D <!-- e\n--> F http://g/h I"
+    assert one(spark, "Table.10/results of ab.cd/e", upper) == "TABLE.10/RESULTS OF ab.cd/e"
+    assert one(spark, "", upper) == "" and one(spark, None, upper) is None
+
+
+def test_headings_by_role(spark):
+    def levels(*marks):
+        df = spark.createDataFrame([(1, i, x) for i, x in enumerate(marks)], "doc_id long, line_no long, line string")
+        return [r["line"] for r in S.releveled(df).orderBy("line_no").collect()]
+
+    assert levels("## A sufficiently long title", "# methods", "### a", "#### b", "##### c", "##### d") == ["# A sufficiently long title", "## methods", "### a", "#### b", "#### c", "### d"]
+    assert levels("# BMJ", "### Short", "## **Results**", "text", None) == ["", "# Short", "## **Results**", "text", None]
+    assert levels("## Results", "# Another heading of length") == ["# Results", "## Another heading of length"]
+    assert levels("plain") == ["plain"]
