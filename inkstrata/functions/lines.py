@@ -162,3 +162,25 @@ def outside_zones(text: Column, edit) -> Column:
     kept = F.regexp_extract_all(text, F.lit(ZONES), F.lit(0))
     between = F.transform(F.split(text, ZONES, -1), edit)
     return F.array_join(F.transform(between, lambda s, i: F.concat(s, F.coalesce(F.get(kept, i), F.lit("")))), "")
+
+
+# Blanks that an extractor puts into contractions, compounds, punctuation and percentages: pattern and replacement, in order
+SPACINGS = [
+    (r"([\p{L}\p{N}_])\s+['’‘ʼ]\s+(t|s|re|ve|ll|d|m|T|S|RE|VE|LL|D|M)\b", "$1'$2"),
+    (r"([a-z]+)\s+-\s+([a-z]+)", "$1-$2"),
+    (r"\s+([.,;:!?)])", "$1"),
+    (r"([(\[])\s+", "$1"),
+    (r"(\d+)\s+%", "$1%"),
+]
+
+
+def closed_spacing(text: Column) -> Column:
+    """Blanks inside contractions, lower-case compounds, before closing and after opening punctuation and before % go."""
+    for pattern, put in SPACINGS:
+        text = F.regexp_replace(text, pattern, put)
+    return text
+
+
+def joined_hyphen_breaks(text: Column) -> Column:
+    """A line end after a hyphen inside a word goes; the hyphen stays."""
+    return F.regexp_replace(text, r"(?<=[\p{L}\p{N}_])-\s*\n\s*(?=[\p{L}\p{N}_])", "-")

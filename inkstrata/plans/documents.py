@@ -337,3 +337,19 @@ select doc_id, case when text is not null then array_to_string(list_transform(o,
 )
 def repaired_outside_zones(spark, sf_dir):
     return ZONED.spark(spark).select("doc_id", L.outside_zones(F.col("text"), lambda x: F.regexp_replace(expanded_ligatures(x), "  +", " ")).alias("text"))
+
+
+SPACED = Fixture("doc_id long, text string", ((1, "don ' t , the patient ’ s ( first ) cost - effective 95 % of 3 - 4"), (2, "cost-\n  effective and well- \nknown, a - \nend"), (3, "a - b - c [ x ] ! We ‘ VE done"), (4, ""), (5, None)))
+
+
+def _spacing_sql(t: str) -> str:
+    t = rf"regexp_replace({t}, '([\p{{L}}\p{{N}}_])-\s*\n\s*([\p{{L}}\p{{N}}_])', '\1-\2', 'g')"
+    for pattern, put in L.SPACINGS:
+        t = f"regexp_replace({t}, {_quoted(pattern)}, {_quoted(re.sub(r'[$](.)', lambda m: chr(92) + m[1], put))}, 'g')"
+    return t
+
+
+@query(f"select doc_id, {_spacing_sql('text')} as text from (select * from {SPACED.sql()} union all select doc_id + 100, text from documents) s")
+def spacing_closed(spark, sf_dir):
+    docs = T.load(spark, sf_dir, "documents").select((F.col("doc_id") + 100).alias("doc_id"), "text")
+    return SPACED.spark(spark).unionByName(docs).select("doc_id", L.closed_spacing(L.joined_hyphen_breaks(F.col("text"))).alias("text"))

@@ -71,3 +71,9 @@ def test_headings_by_role(spark):
     assert levels("# BMJ", "### Short", "## **Results**", "text", None) == ["", "# Short", "## **Results**", "text", None]
     assert levels("## Results", "# Another heading of length") == ["# Results", "## Another heading of length"]
     assert levels("plain") == ["plain"]
+
+
+def test_spacing(spark):
+    assert one(spark, "don ' t , ( a ) cost - effective 95 % 3 - 4 b", L.closed_spacing) == "don't, (a) cost-effective 95% 3 - 4 b"
+    assert one(spark, "a-\nb-\nc -\nd", L.joined_hyphen_breaks) == "a-b-c -\nd"
+    assert one(spark, None, L.closed_spacing) is None
