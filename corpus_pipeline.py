@@ -7,11 +7,21 @@ from pyspark.sql import functions as F
 
 from inkstrata.llm import decontaminate, exact_dedup, language, near_dedup, packing
 from inkstrata.llm.queries import tokenizer_path
-from inkstrata.llm.store import bounded_batches, table, written
+from inkstrata.llm.store import bounded_batches, small, table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """docs with a key of its own for each row. docs is a written table: each scan deals out the same keys, whatever doc_ids are null or shared."""
+    return docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row_key"))
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of a keyed docs whose key is not in gone, a written table."""
+    return docs.join(small(gone, 1_000_000), "row_key", "left_anti").select(*COLUMNS)
+
+
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language is found get it as lang; those without any letter are rejected."""
     bounded_batches(spark)
@@ -22,25 +32,24 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    docs = docs.select(*COLUMNS)
-    gone = written(exact_dedup.exact_dedup(docs).filter("not kept").select("doc_id"), "copies")
-    return docs.join(F.broadcast(gone) if gone.count() <= 1_000_000 else gone, "doc_id", "left_anti").select(*COLUMNS)
+    docs = _keyed(docs)
+    gone = written(exact_dedup.exact_dedup(docs, row_key="row_key").filter("not kept").select("row_key"), "copies")
+    return _without(docs, gone)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     bounded_batches(spark)
-    docs = docs.select(*COLUMNS)
-    gone = written(near_dedup.near_duplicates(docs).filter("not kept").select("doc_id"), "near_copies")
-    return docs.join(F.broadcast(gone) if gone.count() <= 1_000_000 else gone, "doc_id", "left_anti").select(*COLUMNS)
+    docs = _keyed(docs)
+    gone = written(near_dedup.near_duplicates(docs, row_key="row_key").filter("not kept").select("row_key"), "near_copies")
+    return _without(docs, gone)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no benchmark passage contaminates."""
-    docs = docs.select(*COLUMNS)
-    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    gone = written(found.filter("contaminated").select("doc_id"), "contaminated")
-    return docs.join(F.broadcast(gone) if gone.count() <= 1_000_000 else gone, "doc_id", "left_anti").select(*COLUMNS)
+    docs = _keyed(docs)
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), row_key="row_key")
+    return _without(docs, written(found.filter("contaminated").select("row_key"), "contaminated"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

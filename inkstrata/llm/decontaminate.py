@@ -77,8 +77,8 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, *, broadcast_rows: int = 200_000) -> DataFrame:
-    """Per row of docs (doc_id, text): n_words, n_hit, n_items, items_sha256, contaminated.
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, broadcast_rows: int = 200_000, row_key: str | None = None) -> DataFrame:
+    """Per row of docs (doc_id, text): n_words, n_hit, n_items, items_sha256, contaminated; and row_key, if docs has such a column of distinct longs.
 
     A window is WINDOW consecutive words of an item (or the whole of a shorter, not empty one); a
     document's word inside any occurrence of a window is hit. Each window's fingerprint is the
@@ -96,7 +96,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, broadcast_rows: int
     windows = written(item_windows(benchmark), "windows")
     lengths = sorted(r["len"] for r in windows.select("len").distinct().collect())  # 13 at most
     bits = _Bits(windows.select("fp"))
-    rows = docs.select(F.col("doc_id"), words(F.col("text")).alias("w"), bits.column().alias("bits"), F.monotonically_increasing_id().alias("row_id"))
+    rows = docs.select(F.col("doc_id"), words(F.col("text")).alias("w"), bits.column().alias("bits"), (F.col(row_key) if row_key else F.monotonically_increasing_id()).alias("row_id"))
     rows = rows.withColumn("h", F.expr(_grams("w")))
     hit = F.expr(f"exists(h, x -> {bits.test('x')})") if WINDOW in lengths else F.lit(False)
     rows = rows.withColumn("h", F.when(hit, F.col("h")).otherwise(F.expr("cast(array() as array<bigint>)")))
@@ -147,4 +147,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, broadcast_rows: int
         F.size(items).cast("long").alias("n_items"),
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
         ((n_hit > 0) & (SHARE * n_hit >= F.col("n_words"))).alias("contaminated"),
+        *([F.col("row_id").alias(row_key)] if row_key else []),
     )

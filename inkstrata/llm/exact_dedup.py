@@ -52,8 +52,8 @@ def build_index(keys: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
     return written(owned, "index")
 
 
-def exact_dedup(docs: DataFrame, *, bucket_keys: int = BUCKET_KEYS, broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Per row of docs (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256.
+def exact_dedup(docs: DataFrame, *, bucket_keys: int = BUCKET_KEYS, broadcast_rows: int = 1_000_000, row_key: str | None = None) -> DataFrame:
+    """Per row of docs (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256; and row_key, if docs has such a column of distinct longs.
 
     Texts are equal when their normalised() forms are, byte by byte; null counts as empty. Of equal
     texts the row with the smallest doc_id is kept; if that row is repeated, one of them. A null doc_id
@@ -66,8 +66,9 @@ def exact_dedup(docs: DataFrame, *, bucket_keys: int = BUCKET_KEYS, broadcast_ro
     unless the list of shared hashes exceeds broadcast_rows.
     """
     text = normalised(F.col("text"))
+    row_id = F.col(row_key) if row_key else F.monotonically_increasing_id()
     keys = written(
-        docs.select("doc_id", text.alias("t")).select("doc_id", F.xxhash64("t").alias("h"), F.unhex(F.sha2("t", 256)).alias("digest"), F.octet_length("t").cast("long").alias("n_bytes"), F.monotonically_increasing_id().alias("row_id")),
+        docs.select("doc_id", text.alias("t"), row_id.alias("row_id")).select("doc_id", F.xxhash64("t").alias("h"), F.unhex(F.sha2("t", 256)).alias("digest"), F.octet_length("t").cast("long").alias("n_bytes"), "row_id"),
         "keys",
     )
     index = build_index(keys, bucket_keys)
@@ -91,4 +92,5 @@ def exact_dedup(docs: DataFrame, *, bucket_keys: int = BUCKET_KEYS, broadcast_ro
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         (F.col("doc_id").eqNullSafe(keep) & (F.row_number().over(copies) == 1)).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
+        *([F.col("row_id").alias(row_key)] if row_key else []),
     )

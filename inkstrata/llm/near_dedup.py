@@ -178,7 +178,7 @@ def _confirmed(members: DataFrame, sets: DataFrame, percent: int, least: float)
     return held.groupBy("key", "part_a", "part_s").applyInPandas(_linker(percent, least), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, *, percent: int = 85, least_estimate: float = 0.66, broadcast_rows: int = 1_000_000, rounds: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, percent: int = 85, least_estimate: float = 0.66, broadcast_rows: int = 1_000_000, rounds: int = 2, row_key: str | None = None) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, n_shingles, component_id, kept.
 
     A document's set: its distinct shingles of SHINGLE words (runs of bytes other than white space,
@@ -188,6 +188,10 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, least_estimate: float
     of them if the row is repeated). Rows with a null doc_id and no words form components of their own with a null id;
     with words they join their set's class. Further columns are ignored.
 
+    A row_key names a column of distinct longs in docs, which the result then has too. kept goes by rows then, not by doc_ids:
+    one row of each group of linked rows is kept, that of the smallest doc_id (null last), whatever rows elsewhere share it;
+    rows without words are linked with nothing and all kept.
+
     Documents with the same set are one class, so copies never meet in pairs. Classes get BANDS * ROWS minima;
     classes that share a band's minima are candidates; the low BITS bits of the minima, packed, estimate their similarity, and
     candidates of at least least_estimate (5 standard deviations below 0.85) are compared on their full sets.
@@ -196,11 +200,12 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, least_estimate: float
     all others, in blocks of about BLOCK shingles that give only the links of a spanning forest: no link is
     lost and no group's pairs are listed.
     """
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("row_id"))
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (F.col(row_key) if row_key else F.monotonically_increasing_id()).alias("row_id"))
     signed = written(text.select("row_id", "doc_id", "text").mapInArrow(workers.tidy("near_dedup", _sign), _SIGNED_DDL), "signed")
     filled = signed.filter("n_shingles > 0")
+    first = [F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row_id")).alias("first")] if row_key else []
     classes = written(
-        filled.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("least_doc"), F.min("row_id").alias("id"), F.count(F.lit(1)).alias("n")),
+        filled.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("least_doc"), F.min("row_id").alias("id"), F.count(F.lit(1)).alias("n"), *first),
         "classes",
     )
     reps = classes.select("id")
@@ -239,10 +244,12 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, least_estimate: float
 
     comp = components(links)
     of_class = classes.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    leasts = of_class.groupBy("component").agg(F.min("least_doc").alias("component_id"))
-    of_class = written(of_class.join(leasts, "component").select("d1", "d2", "n_shingles", "component_id"), "of_class")
+    leasts = of_class.groupBy("component").agg(F.min("least_doc").alias("component_id"), *([F.min("first").getField("row_id").alias("kept_row")] if row_key else []))
+    of_class = written(of_class.join(leasts, "component").select("d1", "d2", "n_shingles", *leasts.columns[1:]), "of_class")
     rows = signed.select("row_id", "doc_id", "n_shingles", "d1", "d2").join(of_class, ["d1", "d2", "n_shingles"], "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    if row_key:
+        return rows.select("doc_id", "n_shingles", component.alias("component_id"), ((F.col("n_shingles") == 0) | (F.col("row_id") == F.col("kept_row"))).alias("kept"), F.col("row_id").alias(row_key))
     firsts = signed.groupBy(F.col("doc_id").alias("first_doc")).agg(F.min("row_id").alias("first_row"), F.count(F.lit(1)).alias("times")).filter("times > 1").select("first_doc", "first_row")
     rows = rows.join(F.broadcast(firsts) if firsts.count() <= broadcast_rows else firsts, F.col("doc_id").eqNullSafe(F.col("first_doc")), "left")
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id").eqNullSafe(component) & F.coalesce(F.col("row_id") == F.col("first_row"), F.lit(True))).alias("kept"))

@@ -292,3 +292,25 @@ def test_pipeline_stages(spark):
             want = {r[0] for r in _contamination(before, items) if r[5]}
         assert gone == want, name
         at, before = spark.createDataFrame([tuple(r) for r in out.collect()], docs.schema), after
+
+
+def test_pipeline_stages_on_repeated_rows_shared_and_null_ids(spark, tmp_path):
+    import corpus_pipeline as p
+
+    item = " ".join(f"w{i}" for i in range(40))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    words = [f"v{i}" for i in range(60)]
+    near = " ".join([*words[:-1], "other"])
+    stages = dict(p.STAGES)
+
+    def left(name, rows):
+        spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(path := f"{tmp_path}/{name}")
+        return sorted(((r.doc_id, r.text) for r in stages[name](spark, spark.read.parquet(path), str(tmp_path)).collect()), key=str)
+
+    a = " ".join(words)
+    got = left("exact_dedup", [(1, "one two"), (1, "one two"), (2, "one  two"), (3, "shared"), (4, "lone"), (4, "shared"), (None, "shared"), (None, "null"), (None, "null"), (None, "else")])
+    assert got == sorted([(1, "one two"), (3, "shared"), (4, "lone"), (None, "null"), (None, "else")], key=str)
+    got = left("near_dedup", [(1, a), (1, a), (2, near), (2, "quite another text of some words"), (2, None), (2, None), (None, a), (None, "one more text without an id"), (None, "one more text without an id"), (None, "and some other text without one"), (None, None), (None, " ")])
+    assert got == sorted([(1, a), (2, "quite another text of some words"), (2, None), (2, None), (None, "one more text without an id"), (None, "and some other text without one"), (None, None), (None, " ")], key=str)
+    got = left("decontaminate", [(1, item), (1, "clean"), (None, item), (None, "clean as well"), (2, "clean"), (2, "clean")])
+    assert got == sorted([(1, "clean"), (None, "clean as well"), (2, "clean"), (2, "clean")], key=str)
