@@ -71,48 +71,72 @@ def align(template: np.ndarray, text: np.ndarray, band: int = BAND) -> tuple[int
     return n, -first, min(len(text), m + d)
 
 
+def _needed(m: int) -> int:
+    """The least count of matched words that is enough coverage of m."""
+    return next(n for n in range(m + 1) if n >= COVERAGE * m)
+
+
+def _counted(words: np.ndarray, template: np.ndarray) -> np.ndarray:
+    """Places of the template's words from which enough of its words stand within its length and BAND: where an occurrence
+    may start, however its matched words are scattered."""
+    there = np.isin(words, template)
+    total = np.r_[0, np.cumsum(there)]
+    at = np.flatnonzero(there)
+    return at[total[np.minimum(at + len(template) + BAND, len(words))] - total[at] >= _needed(len(template))]
+
+
+def _occurrences(words: np.ndarray, template: np.ndarray, places: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """(matched, first, end) of occurrences of a template in one text that don't overlap. places: (begin, place), where the
+    template would start and a place of the text that proposes it. The best alignments are taken first; places outside of them
+    are aligned anew with the text that is left, as two occurrences may lie within one band."""
+    m, spans, known = len(template), [], {}
+    for b in sorted({b for b, _ in places}):
+        if 0 <= b <= len(words) - m and np.array_equal(words[b : b + m], template) and all(b >= y for _, _, y in spans):
+            spans.append((m, b, b + m))
+    while True:
+        places = [p for p in places if not any(x <= p[1] < y for _, x, y in spans)]
+        found = set()
+        for b, at in places:
+            left = max([0, b - BAND, *(y for _, _, y in spans if y <= at)])
+            right = min([len(words), b + m + BAND, *(x for _, x, _ in spans if x > at)])
+            key = (b, left, right)
+            if key not in known:
+                known[key] = None
+                region, before = words[left:right], left - (b - BAND)
+                if np.isin(template, region).sum() >= COVERAGE * m:
+                    n, x, y = align(template, np.r_[np.zeros(before, np.uint64), region])  # no word's hash is 0
+                    if n >= COVERAGE * m:
+                        known[key] = (n, left + max(x - before, 0), left + y - before)
+            if known[key]:
+                found.add(known[key])
+        if not found:
+            return sorted(spans, key=lambda r: r[1])
+        for row in sorted(found, key=lambda r: (-r[0], r[2] - r[1], r[1])):
+            if all(row[2] <= x or row[1] >= y for _, x, y in spans):  # overlapping alignments of one occurrence
+                spans.append(row)
+
+
 def scan_words(words: np.ndarray, first: np.ndarray, templates: tuple) -> list[tuple[int, int, int, int, int]]:
     """(text, template, matched, first word, end word) of occurrences with enough coverage; words of several texts, first as in word_spans()."""
     own, fps, of, places = _index(templates)
     grams = ngram_hashes(words, GRAM)
-    if not len(grams):
-        return []
-    at = winnow(grams)
-    text = np.searchsorted(first, at, "right") - 1
-    at = at[at + GRAM <= first[text + 1]]
-    lo, hi = np.searchsorted(fps, grams[at], "left"), np.searchsorted(fps, grams[at], "right")
-    hit = np.flatnonzero(hi > lo)
-    if not len(hit):
-        return []
-    found = []
-    at, lo, hi = at[hit], lo[hit], hi[hit]
-    k = np.concatenate([np.arange(a, b) for a, b in zip(lo, hi)])
-    pos = np.repeat(at, hi - lo)
-    begin = pos - places[k]  # where the template would start
-    text = np.searchsorted(first, pos, "right") - 1
-    order = np.lexsort((begin, of[k], text))
-    last = None
-    for t, which, b in zip(text[order].tolist(), of[k][order].tolist(), begin[order].tolist()):
-        if last and last[0] == t and last[1] == which and b <= last[2] + BAND:
-            continue  # within the band of the region already aligned
-        last = (t, which, b)
-        template = own[which]
-        left, right = int(first[t]), int(first[t + 1])
-        exact = words[max(b, left) : b + len(template)]
-        if b >= left and b + len(template) <= right and np.array_equal(exact, template):
-            found.append((t, which, len(template), b - left, b + len(template) - left))
-            continue
-        start = max(left, b - BAND)
-        region = words[start : min(right, b + len(template) + BAND)]
-        n, x, y = align(template, region)
-        if n >= COVERAGE * len(template):
-            found.append((t, which, n, start + x - left, start + y - left))
-    best: dict[tuple[int, int], list] = {}
-    for row in sorted(found, key=lambda r: (r[0], r[1], -r[2], r[4] - r[3], r[3])):
-        held = best.setdefault(row[:2], [])
-        if all(row[4] <= h[3] or row[3] >= h[4] for h in held):  # overlapping alignments of one occurrence
-            held.append(row)
-    return [r for rows in best.values() for r in sorted(rows, key=lambda r: r[3])]
+    proposed: dict[tuple[int, int], set] = {}
+    if len(grams):
+        at = winnow(grams)
+        text = np.searchsorted(first, at, "right") - 1
+        at = at[at + GRAM <= first[text + 1]]
+        lo, hi = np.searchsorted(fps, grams[at], "left"), np.searchsorted(fps, grams[at], "right")
+        hit = np.flatnonzero(hi > lo)
+        for p, a, b in zip(at[hit].tolist(), lo[hit].tolist(), hi[hit].tolist()):
+            t = int(np.searchsorted(first, p, "right")) - 1
+            for k in range(a, b):
+                proposed.setdefault((t, int(of[k])), set()).add((p - int(places[k]) - int(first[t]), p - int(first[t])))
+    for which, template in enumerate(own):
+        if len(template) - _needed(len(template)) <= BAND:  # shorter runs than the fingerprints' may be all that matches
+            at = _counted(words, template)
+            for p, t in zip(at.tolist(), (np.searchsorted(first, at, "right") - 1).tolist()):
+                proposed.setdefault((t, which), set()).add((p - int(first[t]), p - int(first[t])))
+    return [(t, which, *row) for (t, which), at in sorted(proposed.items()) for row in _occurrences(words[first[t] : first[t + 1]], own[which], sorted(at))]
 
 
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("license", pa.string()), ("matched", pa.int64()), ("template_words", pa.int64()), ("coverage", pa.float64()), ("first_word", pa.int64()), ("end_word", pa.int64()), ("first_byte", pa.int64()), ("end_byte", pa.int64())])
@@ -124,7 +148,8 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None) -> D
     coverage, first_word, end_word, first_byte, end_byte (ends exclusive, bytes of the UTF-8 text).
 
     Words are runs of digits, letters (A-Z lower-cased) and non-ASCII characters. Documents select winnowed k-grams; those
-    that the inverted index of the templates has propose places; there the template is aligned with the text within
+    that the inverted index of the templates has propose places, and for templates that coverage allows to lack BAND words at most
+    so does every place from which enough of their words stand close together; there the template is aligned with the text within
     BAND words, and occurrences that match at least COVERAGE of its words are reported, the best one of
     overlapping alignments of one template. Different templates may overlap. Templates have GRAM + SPAN - 1 words or more.
 

@@ -236,6 +236,13 @@ def test_licenses_against_brute_force(spark, edge):
         assert r.matched == row[-1]
 
 
+def test_licenses_adjacent_and_scattered(spark):
+    line, cc = "Released under the MIT License. ", "Licensed under CC BY-NC 4.0. "
+    docs = [(1, line * 3), (2, cc * 2), (3, "Licensed under the Apache License, Version 2.0. " * 2), (4, "Released under our MIT License"), (5, line + "Released under our MIT License. " + line), (6, "under the MIT License"), (7, "Released now under what the old MIT style License"), (8, "Released under our own License"), (9, line + "under the MIT License. " + "x " * 30 + line)]
+    got = licenses.scan_licenses(spark.createDataFrame(docs, DOC)).collect()
+    assert collections.Counter((r.doc_id, r.license, r.matched) for r in got) == {(1, "MIT/line", 5): 3, (2, "CC-BY-NC-4.0/line", 7): 2, (3, "Apache-2.0/line", 8): 2, (4, "MIT/line", 4): 1, (5, "MIT/line", 5): 2, (5, "MIT/line", 4): 1, (6, "MIT/line", 4): 1, (7, "MIT/line", 5): 1, (9, "MIT/line", 5): 2, (9, "MIT/line", 4): 1}
+
+
 def test_packing_round_trip(spark, edge):
     docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").unionByName(edge.filter("doc_id > 1").filter("doc_id <> 4").withColumn("doc_id", F.col("doc_id") + 10**6).select("doc_id", "text"))
     rows = packing.pack_documents(docs, q.tokenizer_path(), block_tokens=50_000).collect()
