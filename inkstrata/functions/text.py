@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 CAPITAL_HEADINGS = ["METHODS", "RESULTS", "DISCUSSION", "CONCLUSIONS", "CONCLUSION", "INTRODUCTION", "ABSTRACT", "REFERENCES", "BACKGROUND", "OBJECTIVES", "ACKNOWLEDGEMENTS", "ACKNOWLEDGMENTS", "APPENDIX", "LIMITATIONS"]
 # Compounds that lose their hyphen in extraction
 COMPOUNDS = ["cost-effectiveness", "cost-effective", "cost-utility", "cost-benefit", "self-report", "self-reported", "meta-analysis", "meta-analyses", "health-related", "preference-based", "condition-specific", "decision-making", "decision-analytic", "age-adjusted", "quality-adjusted", "willingness-to-pay"]
+# Compounds of health economics and medicine whose hyphens are restored in whole words; they hold all of COMPOUNDS
+DOMAIN_COMPOUNDS = ["cost-effectiveness", "cost-effective", "cost-utility", "cost-benefit", "cost-minimization", "cost-consequence", "quality-adjusted", "disability-adjusted", "age-adjusted", "risk-adjusted", "health-related", "disease-related", "treatment-related", "dose-related", "preference-based", "evidence-based", "population-based", "community-based", "hospital-based", "model-based", "utility-based", "value-based", "condition-specific", "disease-specific", "age-specific", "country-specific", "patient-specific", "decision-making", "decision-analytic", "decision-analysis", "meta-analysis", "meta-analyses", "meta-regression", "self-report", "self-reported", "self-reporting", "self-management", "self-administered", "willingness-to-pay", "pay-for-performance", "head-to-head", "state-of-the-art", "end-of-life", "quality-of-life", "year-of-life", "years-of-life", "out-of-pocket", "long-term", "short-term", "medium-term", "real-world", "all-cause", "first-line", "second-line", "third-line", "open-label", "double-blind", "single-arm", "two-arm", "multi-arm", "multi-payer", "multi-country", "progression-free", "event-free", "disease-free", "relapse-free", "recurrence-free", "treatment-free", "symptom-free", "intention-to-treat", "per-protocol", "dose-response", "time-varying", "time-dependent", "half-life", "well-being", "pre-specified", "pre-treatment", "post-treatment", "post-hoc", "one-way", "two-way", "multi-way"]
 # Glyph codes of symbol fonts
 FONT_CODES = {"/C15": "•", "/C0": "‘", "/C1": "’", "/C2": "“", "/C3": "”", "/C4": "–", "/C5": "—", "/C6": "†", "/C7": "‡", "/C8": "§", "/C9": "¶", "/C10": "©", "/C11": "®", "/C12": "™", "/C13": "°", "/C14": "±", "/C16": "‣", "/C19": "Ł"}
 # Latin ligatures U+FB00 to U+FB06
@@ -58,7 +60,7 @@ def expanded_ligatures(text: Column) -> Column:
 
 def hyphenated(text: Column, compounds: list[str] | None = None) -> Column:
     """Whole merged words get their hyphens back: lower case, capitalised or all capitals."""
-    for c in compounds or COMPOUNDS:
+    for c in compounds or DOMAIN_COMPOUNDS:
         for form in (c, c[0].upper() + c[1:], c.upper()):
             text = F.regexp_replace(text, rf"\b{form.replace('-', '')}\b", form)
     return text

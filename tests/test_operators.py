@@ -67,3 +67,10 @@ def test_stream_equals_batch(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(map(tuple, spark.table("w").collect())) == sorted(map(tuple, E.windowed_counts(events).collect()))
+
+
+def test_all_domain_compounds_get_their_hyphens(spark):
+    assert len(X.DOMAIN_COMPOUNDS) == 83 and set(X.COMPOUNDS) <= set(X.DOMAIN_COMPOUNDS)
+    want = [" ".join((c, c[0].upper() + c[1:], c.upper())) for c in [*X.DOMAIN_COMPOUNDS, "long-term", "quality-of-life", "evidence-based", "progression-free"]]
+    df = spark.createDataFrame([(" ".join(want).replace("-", "") + " xlongterm longtermx",)], "t string")
+    assert df.select(X.hyphenated(F.col("t"))).first()[0] == " ".join(want) + " xlongterm longtermx"
