@@ -10,8 +10,8 @@ import pyarrow as pa
 SLICE_BYTES = 2_000_000  # text that is held as arrays at once, or one whole longer text
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(0, 2**64, 256, dtype=np.uint64)
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _P, _P_INV = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
@@ -72,7 +72,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         return np.zeros(0, np.uint64)
     with np.errstate(over="ignore"):
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE[_LOWER[data]] * _powers(_P, len(data)), out=sums[1:])
+        np.cumsum(_BYTE[LOWER[data]] * _powers(_P, len(data)), out=sums[1:])
         return mix((sums[ends] - sums[starts]) * _powers(_P_INV, len(data))[starts] + (ends - starts).astype(np.uint64))
 
 
