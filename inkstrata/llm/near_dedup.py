@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,7 @@ BANDS, ROWS = 24, 5  # two sets at a similarity of 0.85 share no band with a cha
 BITS = 4  # of each minimum that the packed signature keeps: 16 minima in a long
 LONGS = BANDS * ROWS * BITS // 64 + (BANDS * ROWS * BITS % 64 > 0)
 SLICE = 1_000_000  # bytes of text that are held as arrays at once
+HOT = 500  # rows of a key that one task takes
 BLOCK = 400_000  # shingles of a block of sets that are compared in one task
 _rng = np.random.default_rng(5)
 _A = _rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
@@ -61,8 +63,20 @@ def _minima(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-_SIGNED = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("sig", pa.list_(pa.int64())), ("bands", pa.list_(pa.int64()))])
-_SIGNED_DDL = "row_id long, doc_id long, n_shingles long, d1 long, d2 long, sig array<long>, bands array<long>"
+def digests(sets: list[np.ndarray]) -> np.ndarray:
+    """(sets, 2) sums over each set that stand for it; zeros for an empty one."""
+    n = np.array([len(x) for x in sets])
+    out = np.zeros((len(sets), 2), np.uint64)
+    if n.any():
+        flat, at = np.concatenate(sets), np.r_[0, np.cumsum(n[n > 0])[:-1]]
+        with np.errstate(over="ignore"):
+            out[n > 0, 0] = np.add.reduceat(mix(flat), at)
+            out[n > 0, 1] = np.add.reduceat(mix(flat + np.uint64(0x51ED270B)), at)
+    return out
+
+
+_SIGNED = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("found_by", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("sig", pa.list_(pa.int64())), ("bands", pa.list_(pa.int64()))])
+_SIGNED_DDL = "row_id long, doc_id long, found_by long, n_shingles long, d1 long, d2 long, sig array<long>, bands array<long>"
 
 
 def _lists(m: np.ndarray, there: np.ndarray) -> pa.Array:
@@ -78,7 +92,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = np.array([len(x) for x in sets])
             there = n > 0
             bands, sig = np.zeros((len(sets), BANDS), np.int64), np.zeros((len(sets), LONGS), np.int64)
-            digest = np.zeros((len(sets), 2), np.uint64)
+            digest = digests(sets)
             if there.any():
                 held = [x for x in sets if len(x)]
                 low = _minima(held)
@@ -91,26 +105,25 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     for k in range(BANDS * ROWS):
                         packed[:, k * BITS // 64] |= (low[:, k].astype(np.uint64) & np.uint64(15)) << np.uint64(k * BITS % 64)
                     sig[there] = packed.view(np.int64)
-                    at = np.r_[0, np.cumsum(n[there])[:-1]]
-                    flat = np.concatenate(held)
-                    digest[there, 0] = np.add.reduceat(mix(flat), at)
-                    digest[there, 1] = np.add.reduceat(mix(flat + np.uint64(0x51ED270B)), at)
             ids = batch.slice(row, len(sets))
             row += len(sets)
-            yield pa.RecordBatch.from_arrays([ids.column("row_id"), ids.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(digest[:, 0].view(np.int64)), pa.array(digest[:, 1].view(np.int64)), _lists(sig, there), _lists(bands, there)], schema=_SIGNED)
+            yield pa.RecordBatch.from_arrays([ids.column("row_id"), ids.column("doc_id"), ids.column("found_by"), pa.array(n.astype(np.int64)), pa.array(digest[:, 0].view(np.int64)), pa.array(digest[:, 1].view(np.int64)), _lists(sig, there), _lists(bands, there)], schema=_SIGNED)
 
 
-_SETS = pa.schema([("id", pa.int64()), ("hashes", pa.list_(pa.int64()))])
+_SETS = pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("n_shingles", pa.int64()), ("hashes", pa.list_(pa.int64()))])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each different set of a task's texts, under its digest."""
+    seen: set[tuple[int, int]] = set()
     for batch in batches:
-        row = 0
         for sets in shingle_sets(batch.column("text")):
-            n = np.r_[0, np.cumsum([len(x) for x in sets])].astype(np.int32)
-            flat = np.concatenate(sets).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.slice(row, len(sets)).column("id"), pa.ListArray.from_arrays(pa.array(n), pa.array(flat))], schema=_SETS)
-            row += len(sets)
+            digest = digests(sets).view(np.int64)
+            new = [i for i, d in enumerate(map(tuple, digest.tolist())) if not (d in seen or seen.add(d))]
+            sizes = [len(sets[i]) for i in new]
+            flat = np.concatenate([sets[i] for i in new]).view(np.int64) if new else np.zeros(0, np.int64)
+            hashes = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([pa.array(digest[new, 0]), pa.array(digest[new, 1]), pa.array(sizes, pa.int64()), hashes], schema=_SETS)
 
 
 def estimate(a: str, b: str) -> str:
@@ -178,7 +191,19 @@ def _confirmed(members: DataFrame, sets: DataFrame, percent: int, least: float)
     return held.groupBy("key", "part_a", "part_s").applyInPandas(_linker(percent, least), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, *, percent: int = 85, least_estimate: float = 0.66, broadcast_rows: int = 1_000_000, rounds: int = 2, row_key: str | None = None) -> DataFrame:
+def _parts(sizes: DataFrame, key: str, broadcast_rows: int) -> DataFrame:
+    """(key, parts) for the keys of sizes with more than HOT rows."""
+    return small(sizes.filter(F.col("n") > HOT).select(key, F.ceil(F.col("n") / HOT).cast("int").alias("parts")), broadcast_rows)
+
+
+def _spread(rows: DataFrame, per_key: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """rows (with a column id) joined by key to per_key, which has a row for each key. hot: a broadcast (key, parts) of keys with many rows, which are dealt over as many tasks."""
+    dealt = rows.join(hot, key, "left").withColumn("salt", F.expr("coalesce(cast(pmod(xxhash64(id), parts) as int), 0)")).drop("parts")
+    copies = per_key.join(hot, key, "left").withColumn("salt", F.explode(F.expr("sequence(0, coalesce(parts, 1) - 1)"))).drop("parts")
+    return dealt.join(copies, [key, "salt"]).drop("salt")
+
+
+def near_duplicates(docs: DataFrame, *, percent: int = 85, broadcast_rows: int = 1_000_000, rounds: int = 2, row_key: str | None = None) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, n_shingles, component_id, kept.
 
     A document's set: its distinct shingles of SHINGLE words (runs of bytes other than white space,
@@ -194,53 +219,62 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, least_estimate: float
 
     Documents with the same set are one class, so copies never meet in pairs. Classes get BANDS * ROWS minima;
     classes that share a band's minima are candidates; the low BITS bits of the minima, packed, estimate their similarity, and
-    candidates of at least least_estimate (5 standard deviations below 0.85) are compared on their full sets.
+    candidates of at least the threshold less 5 standard deviations are compared on their full sets.
     First each class is compared with the least one of each of its buckets. Then, for buckets whose members are
     not all in one component, every member outside the bucket's main component is compared with
     all others, in blocks of about BLOCK shingles that give only the links of a spanning forest: no link is
     lost and no group's pairs are listed.
+
+    docs is scanned twice; nothing is carried over by a row's place. The second scan finds the rows that stand for classes by
+    a hash of id and text, and puts each set to its class by the set's own digest; a class without a set is an error.
     """
+    least = percent / 100 - 5 * math.sqrt(percent / 100 * (1 - percent / 100) / (BANDS * ROWS)) / (1 - 2.0**-BITS)
+    found_by = F.xxhash64("doc_id", "text")
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (F.col(row_key) if row_key else F.monotonically_increasing_id()).alias("row_id"))
-    signed = written(text.select("row_id", "doc_id", "text").mapInArrow(workers.tidy("near_dedup", _sign), _SIGNED_DDL), "signed")
+    signed = written(text.select("row_id", "doc_id", found_by.alias("found_by"), "text").mapInArrow(workers.tidy("near_dedup", _sign), _SIGNED_DDL), "signed")
     filled = signed.filter("n_shingles > 0")
     first = [F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row_id")).alias("first")] if row_key else []
     classes = written(
-        filled.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("least_doc"), F.min("row_id").alias("id"), F.count(F.lit(1)).alias("n"), *first),
+        filled.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("least_doc"), F.min(F.struct("row_id", "found_by")).alias("rep"), *first).select("*", F.col("rep.row_id").alias("id"), "rep.found_by").drop("rep"),
         "classes",
     )
-    reps = classes.select("id")
-    shapes = written(signed.join(reps.withColumnRenamed("id", "row_id"), "row_id", "left_semi").select(F.col("row_id").alias("id"), "n_shingles", "sig", "bands"), "shapes")
+    shapes = written(signed.join(classes.select(F.col("id").alias("row_id")), "row_id", "left_semi").select(F.col("row_id").alias("id"), "n_shingles", "sig", "bands"), "shapes")
     rows = shapes.select("id", "n_shingles", F.explode("bands").alias("key"))
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("hub"), F.sum("n_shingles").alias("load"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("who")).filter("n > 1")
-    sizes = sizes.groupBy("n", "who").agg(F.min_by(F.struct("key", "hub", "load"), "key").alias("b")).select("b.*", "n")  # one of the buckets with the same members
-    buckets = written(rows.join(sizes, "key"), "buckets")
-    involved = written(buckets.select("id").distinct(), "involved")
-    wanted = text.join(small(involved.withColumnRenamed("id", "row_id"), broadcast_rows), "row_id", "left_semi")
-    hashes = wanted.select(F.col("row_id").alias("id"), "text").mapInArrow(workers.tidy("near_dedup", _sets), "id long, hashes array<long>")
-    sets = written(hashes.join(shapes.select("id", "sig"), "id"), "sets")
+    sizes = written(sizes.groupBy("n", "who").agg(F.min_by(F.struct("key", "hub", "load"), "key").alias("b")).select("b.*", "n"), "sizes")  # one of the buckets with the same members
+    hot = _parts(sizes, "key", broadcast_rows)
+    buckets = written(_spread(rows, sizes, "key", hot), "buckets")
+    involved = written(classes.join(buckets.select("id").distinct(), "id").select("id", "found_by", "d1", "d2", "n_shingles"), "involved")
+    wanted = docs.select("text", found_by.alias("found_by")).join(small(involved.select("found_by").distinct(), broadcast_rows), "found_by", "left_semi")
+    hashes = wanted.select("text").mapInArrow(workers.tidy("near_dedup", _sets), "d1 long, d2 long, n_shingles long, hashes array<long>")
+    sets = written(hashes.join(involved, ["d1", "d2", "n_shingles"]).select("id", "hashes").join(shapes.select("id", "sig"), "id"), "sets")
+    if sets.select("id").distinct().count() != involved.count():
+        raise RuntimeError("a text of the first scan was not found again: docs must hold the same rows in each scan")
 
     # Round 1: each class against the hubs of its buckets
     sigs = shapes.select("id", "sig", F.col("n_shingles").alias("m"))
-    stars = buckets.filter("id <> hub").select("id", "hub").distinct()
-    stars = stars.join(sigs, "id").join(sigs.select(F.col("id").alias("hub"), F.col("sig").alias("hub_sig"), F.col("m").alias("hub_m")), "hub")
-    stars = written(stars.filter(F.expr(f"{estimate('sig', 'hub_sig')} >= {least_estimate} and 100 * least(m, hub_m) >= {percent} * greatest(m, hub_m)")).select("id", "hub", "m"), "stars")
+    near = sizes.groupBy("hub").agg(F.sum("n").alias("n"))
+    stars = buckets.filter("id <> hub").select("id", "hub").distinct().join(sigs, "id")
+    hub_sigs = sigs.join(near.select(F.col("hub").alias("id")), "id", "left_semi").select(F.col("id").alias("hub"), F.col("sig").alias("hub_sig"), F.col("m").alias("hub_m"))
+    stars = _spread(stars, hub_sigs, "hub", _parts(near, "hub", broadcast_rows))
+    stars = written(stars.filter(F.expr(f"{estimate('sig', 'hub_sig')} >= {least} and 100 * least(m, hub_m) >= {percent} * greatest(m, hub_m)")).select("id", "hub", "m"), "stars")
     chunks = stars.groupBy("hub").agg((F.floor(F.sum("m") / F.lit(BLOCK)) + 1).cast("int").alias("n_a"))
     spokes = stars.join(chunks, "hub").select(F.col("hub").alias("key"), F.expr("cast(pmod(xxhash64(id), n_a) as int)").alias("part_a"), "id", F.lit("A").alias("role"))
     hubs = chunks.select(F.col("hub").alias("key"), F.explode(F.expr("sequence(0, n_a - 1)")).alias("part_a"), F.col("hub").alias("id"), F.lit("S").alias("role"))
     members = spokes.unionByName(hubs).withColumn("part_s", F.lit(0)).withColumn("comp", F.col("id"))
-    links = written(_confirmed(members, sets, percent, least_estimate), "links")
+    links = written(_confirmed(members, sets, percent, least), "links")
 
     # Round 2: what shares a bucket and isn't connected yet
     for _ in range(rounds - 1):
         comp = written(components(links), "comp")
         placed = buckets.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id")).select("key", "id", "n_shingles", "hub", "load", "comp")
         mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.when(F.col("id") == F.col("hub"), F.col("comp"))).alias("main")).filter("lo <> hi")
-        open_ = written(placed.join(mixed.select("key", "main"), "key"), "open")
+        open_ = written(_spread(placed, mixed.select("key", "main"), "key", hot), "open")
         loads = open_.groupBy("key").agg(F.sum(F.when(F.col("comp") != F.col("main"), F.col("n_shingles")).otherwise(0)).alias("s_load"))
-        open_ = open_.join(loads, "key").withColumn("n_a", (F.floor(F.col("load") / F.lit(BLOCK)) + 1).cast("int")).withColumn("n_s", (F.floor(F.col("s_load") / F.lit(BLOCK)) + 1).cast("int"))
+        open_ = _spread(open_, loads, "key", hot).withColumn("n_a", (F.floor(F.col("load") / F.lit(BLOCK)) + 1).cast("int")).withColumn("n_s", (F.floor(F.col("s_load") / F.lit(BLOCK)) + 1).cast("int"))
         as_a = open_.select("key", F.expr("cast(pmod(xxhash64(id), n_a) as int)").alias("part_a"), F.explode(F.expr("sequence(0, n_s - 1)")).alias("part_s"), "id", "comp", F.lit("A").alias("role"))
         as_s = open_.filter("comp <> main").select("key", F.explode(F.expr("sequence(0, n_a - 1)")).alias("part_a"), F.expr("cast(pmod(xxhash64(id, 7), n_s) as int)").alias("part_s"), "id", "comp", F.lit("S").alias("role"))
-        links = written(links.unionByName(_confirmed(as_a.unionByName(as_s), sets, percent, least_estimate)), "links")
+        links = written(links.unionByName(_confirmed(as_a.unionByName(as_s), sets, percent, least)), "links")
 
     comp = components(links)
     of_class = classes.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Only for sessions that name no shared folder, such as tests on one machine.
+#: Only for local sessions that name no shared folder, such as tests.
 LOCAL_FALLBACK = "file:///tmp/checkpoints/inkstrata"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir."""
+    """The folder that driver and executors share, from spark.checkpoint.dir; a cluster must name one."""
     set_to = spark.conf.get("spark.checkpoint.dir", None)
     if not set_to:
-        spark.conf.set("spark.checkpoint.dir", LOCAL_FALLBACK)
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         set_to = LOCAL_FALLBACK
     return set_to.rstrip("/")
 

@@ -7,9 +7,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from inkstrata.llm import chat, decontaminate, exact_dedup, language, licenses, lm_score, near_dedup, packing, shards, warc
+from inkstrata.llm import chat, decontaminate, exact_dedup, language, licenses, lm_score, near_dedup, packing, shards, store, warc
 from inkstrata.llm import queries as q
 from inkstrata.llm.components import components
+from inkstrata.llm.store import written
 from tests.compare import DATA, same
 
 DOC = "doc_id long, text string"
@@ -97,7 +98,7 @@ def test_shard_edges(spark, edge):
     assert shards.shard(edge.limit(0)).count() == 0
 
 
-def _near(docs):
+def _near(docs, percent=85):
     sets = []
     for _, t in docs:
         w = _words(t, r"[^\x20\x09-\x0D]+")
@@ -112,7 +113,7 @@ def _near(docs):
     for i in range(len(docs)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if both and 100 * both >= 85 * len(sets[i] | sets[j]):
+            if both and 100 * both >= percent * len(sets[i] | sets[j]):
                 up[root(i)] = root(j)
     least = {}
     for i, (d, _) in enumerate(docs):
@@ -137,6 +138,37 @@ def test_near_duplicates(spark, edge):
     assert near_dedup.near_duplicates(edge.limit(0)).count() == 0
 
 
+def test_near_duplicates_when_splits_change_between_scans(spark, monkeypatch):
+    folder = DATA.replace("0.001", "0.01")
+    want = sorted(map(tuple, near_dedup.near_duplicates(spark.read.parquet(f"{folder}/documents.parquet")).collect()))
+    calls, keys = [], {"spark.sql.files.maxPartitionBytes": "200000", "spark.sql.files.openCostInBytes": "0"}
+
+    def after_first(df, name):
+        out = written(df, name)
+        if not calls:
+            for k, v in keys.items():
+                spark.conf.set(k, v)
+        calls.append(name)
+        return out
+
+    monkeypatch.setattr(near_dedup, "written", after_first)
+    try:
+        got = sorted(map(tuple, near_dedup.near_duplicates(spark.read.parquet(f"{folder}/documents.parquet")).collect()))
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    assert got == want
+
+
+def test_a_cluster_must_name_a_shared_folder(monkeypatch):
+    class Session:
+        conf = {}
+        sparkContext = type("Context", (), {"master": "spark://host:7077"})
+
+    with pytest.raises(ValueError):
+        store.shared_dir(Session())
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 101), (103, 101), (7, 7), (101, 100)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -293,7 +325,7 @@ def test_pipeline_stages(spark):
                 first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", t), d)
             want = {d for d, _ in before} - set(first.values())
         elif name == "near_dedup":
-            want = {d for d, _, c in _near(before) if d != c}
+            want = {d for d, _, c in _near(before, p.NEAR) if d != c}
         else:
             items = [tuple(r) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
             want = {r[0] for r in _contamination(before, items) if r[5]}
