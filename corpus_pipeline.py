@@ -10,11 +10,12 @@ from inkstrata.llm.queries import tokenizer_path
 from inkstrata.llm.store import bounded_batches, small, table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+NEAR = 80  # percent of shingles that near duplicates share at least
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """docs with a key of its own for each row. docs is a written table: each scan deals out the same keys, whatever doc_ids are null or shared."""
-    return docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row_key"))
+    """docs written with a key of its own for each row: whatever doc_ids are null or shared, and however later scans are split, a row keeps its key."""
+    return written(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row_key")), "keyed")
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
@@ -23,37 +24,44 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language is found get it as lang; those without any letter are rejected."""
+    """Documents in which a language is found; it becomes lang where lang is null. Null texts and texts without any letter are rejected.
+
+    Each row is judged by its own text: repeated rows and null or shared doc_ids change nothing. An empty table stays empty;
+    columns beyond those of documents are ignored, here and in every stage."""
     bounded_batches(spark)
     docs = docs.select(*COLUMNS)
     found = language.identify(docs, language.fit(docs)).filter(F.col("lang_pred") != language.UNDETERMINED)
-    return found.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One row of each group of equal texts: that of the smallest doc_id, one of them if it is repeated; one without an id only where no row has one.
+
+    Null counts as an empty text. Other rows that share a dropped row's doc_id stay."""
     docs = _keyed(docs)
     gone = written(exact_dedup.exact_dedup(docs, row_key="row_key").filter("not kept").select("row_key"), "copies")
     return _without(docs, gone)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One row of each group linked by a similarity of NEAR percent or more: that of the smallest doc_id (null last).
+
+    Rows without words, null texts among them, are linked with nothing and stay; so do rows that only share a dropped row's doc_id."""
     bounded_batches(spark)
     docs = _keyed(docs)
-    gone = written(near_dedup.near_duplicates(docs, row_key="row_key").filter("not kept").select("row_key"), "near_copies")
+    gone = written(near_dedup.near_duplicates(docs, percent=NEAR, row_key="row_key").filter("not kept").select("row_key"), "near_copies")
     return _without(docs, gone)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no benchmark passage contaminates."""
+    """Rows that no benchmark passage contaminates, each judged by its own text; null and empty texts stay."""
     docs = _keyed(docs)
     found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), row_key="row_key")
     return _without(docs, written(found.filter("contaminated").select("row_key"), "contaminated"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in training sequences."""
+    """Pieces of all rows in training sequences; a null or empty text is its end token alone."""
     bounded_batches(spark)
     return packing.pack_documents(docs, tokenizer_path())
 
