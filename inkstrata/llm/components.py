@@ -23,13 +23,13 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, component): the least node reachable, for each node of edges (a, b) that has one.
 
     Rounds of large-star and small-star: each hangs a node's neighbours under the least of them, and the
-    number of rounds grows with the logarithm of the longest path. Every second round is written to the shared
+    number of rounds grows with the logarithm of the longest path. Every round is written to the shared
     folder. Loops and repeated edges are allowed; an empty table gives an empty result."""
     both = edges.select("a", "b").filter("a <> b").distinct()
     now = written(both.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     stamp = None
-    for _ in range(0, most_rounds, 2):
-        after = written(_round(_round(now)), "edges")
+    for _ in range(most_rounds):
+        after = written(_round(now), "edges")
         drop(now)
         now = after
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
