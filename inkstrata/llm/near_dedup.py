@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from inkstrata.llm import workers
 from inkstrata.llm.components import components
+from inkstrata.llm.skew import join_by_key
 from inkstrata.llm.store import small, written
 from inkstrata.llm.vector import SPACES, mix, ngram_hashes, slices, word_hashes, word_spans
 
@@ -21,7 +22,6 @@ BANDS, ROWS = 24, 5  # two sets at a similarity of 0.85 share no band with a cha
 BITS = 4  # of each minimum that the packed signature keeps: 16 minima in a long
 LONGS = BANDS * ROWS * BITS // 64 + (BANDS * ROWS * BITS % 64 > 0)
 SLICE = 1_000_000  # bytes of text that are held as arrays at once
-HOT = 500  # rows of a key that one task takes
 BLOCK = 400_000  # shingles of a block of sets that are compared in one task
 _rng = np.random.default_rng(5)
 _A = _rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
@@ -185,24 +185,12 @@ def _linker(percent: int, least: float):
     return link
 
 
-def _confirmed(members: DataFrame, sets: DataFrame, percent: int, least: float) -> DataFrame:
+def _confirmed(members: DataFrame, sets: DataFrame, percent: int, least: float, broadcast_rows: int) -> DataFrame:
     """Links (a, b) among members (block columns key, part_a, part_s; id, comp, role)."""
-    held = members.join(sets, "id")
+    held = sets.join(small(members, broadcast_rows), "id")
     return held.groupBy("key", "part_a", "part_s").applyInPandas(_linker(percent, least), "a long, b long")
 
 
-def _parts(sizes: DataFrame, key: str, broadcast_rows: int) -> DataFrame:
-    """(key, parts) for the keys of sizes with more than HOT rows."""
-    return small(sizes.filter(F.col("n") > HOT).select(key, F.ceil(F.col("n") / HOT).cast("int").alias("parts")), broadcast_rows)
-
-
-def _spread(rows: DataFrame, per_key: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    """rows (with a column id) joined by key to per_key, which has a row for each key. hot: a broadcast (key, parts) of keys with many rows, which are dealt over as many tasks."""
-    dealt = rows.join(hot, key, "left").withColumn("salt", F.expr("coalesce(cast(pmod(xxhash64(id), parts) as int), 0)")).drop("parts")
-    copies = per_key.join(hot, key, "left").withColumn("salt", F.explode(F.expr("sequence(0, coalesce(parts, 1) - 1)"))).drop("parts")
-    return dealt.join(copies, [key, "salt"]).drop("salt")
-
-
 def near_duplicates(docs: DataFrame, *, percent: int = 85, broadcast_rows: int = 1_000_000, rounds: int = 2, row_key: str | None = None) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, n_shingles, component_id, kept.
 
@@ -242,12 +230,15 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, broadcast_rows: int =
     rows = shapes.select("id", "n_shingles", F.explode("bands").alias("key"))
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("hub"), F.sum("n_shingles").alias("load"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("who")).filter("n > 1")
     sizes = written(sizes.groupBy("n", "who").agg(F.min_by(F.struct("key", "hub", "load"), "key").alias("b")).select("b.*", "n"), "sizes")  # one of the buckets with the same members
-    hot = _parts(sizes, "key", broadcast_rows)
-    buckets = written(_spread(rows, sizes, "key", hot), "buckets")
-    involved = written(classes.join(buckets.select("id").distinct(), "id").select("id", "found_by", "d1", "d2", "n_shingles"), "involved")
+
+    def joined(rows: DataFrame, per_key: DataFrame, key: str) -> DataFrame:
+        return join_by_key(rows, per_key, [key], "n", F.col("id"), broadcast_rows=broadcast_rows)
+
+    buckets = written(joined(rows, sizes.withColumn("members", F.col("n")), "key"), "buckets")
+    involved = written(classes.join(buckets.select("id").distinct(), "id").join(shapes.select("id", "sig"), "id").select("id", "found_by", "d1", "d2", "n_shingles", "sig"), "involved")
     wanted = docs.select("text", found_by.alias("found_by")).join(small(involved.select("found_by").distinct(), broadcast_rows), "found_by", "left_semi")
     hashes = wanted.select("text").mapInArrow(workers.tidy("near_dedup", _sets), "d1 long, d2 long, n_shingles long, hashes array<long>")
-    sets = written(hashes.join(involved, ["d1", "d2", "n_shingles"]).select("id", "hashes").join(shapes.select("id", "sig"), "id"), "sets")
+    sets = written(hashes.join(small(involved.drop("found_by"), broadcast_rows // 5), ["d1", "d2", "n_shingles"]).select("id", "hashes", "sig"), "sets")
     if sets.select("id").distinct().count() != involved.count():
         raise RuntimeError("a text of the first scan was not found again: docs must hold the same rows in each scan")
 
@@ -255,26 +246,26 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, broadcast_rows: int =
     sigs = shapes.select("id", "sig", F.col("n_shingles").alias("m"))
     near = sizes.groupBy("hub").agg(F.sum("n").alias("n"))
     stars = buckets.filter("id <> hub").select("id", "hub").distinct().join(sigs, "id")
-    hub_sigs = sigs.join(near.select(F.col("hub").alias("id")), "id", "left_semi").select(F.col("id").alias("hub"), F.col("sig").alias("hub_sig"), F.col("m").alias("hub_m"))
-    stars = _spread(stars, hub_sigs, "hub", _parts(near, "hub", broadcast_rows))
+    hub_sigs = sigs.join(near.select(F.col("hub").alias("id")), "id", "left_semi").select(F.col("id").alias("hub"), F.col("sig").alias("hub_sig"), F.col("m").alias("hub_m")).join(near, "hub")
+    stars = joined(stars, written(hub_sigs, "hubs"), "hub")
     stars = written(stars.filter(F.expr(f"{estimate('sig', 'hub_sig')} >= {least} and 100 * least(m, hub_m) >= {percent} * greatest(m, hub_m)")).select("id", "hub", "m"), "stars")
     chunks = stars.groupBy("hub").agg((F.floor(F.sum("m") / F.lit(BLOCK)) + 1).cast("int").alias("n_a"))
     spokes = stars.join(chunks, "hub").select(F.col("hub").alias("key"), F.expr("cast(pmod(xxhash64(id), n_a) as int)").alias("part_a"), "id", F.lit("A").alias("role"))
     hubs = chunks.select(F.col("hub").alias("key"), F.explode(F.expr("sequence(0, n_a - 1)")).alias("part_a"), F.col("hub").alias("id"), F.lit("S").alias("role"))
     members = spokes.unionByName(hubs).withColumn("part_s", F.lit(0)).withColumn("comp", F.col("id"))
-    links = written(_confirmed(members, sets, percent, least), "links")
+    links = written(_confirmed(members, sets, percent, least, broadcast_rows), "links")
 
     # Round 2: what shares a bucket and isn't connected yet
     for _ in range(rounds - 1):
         comp = written(components(links), "comp")
-        placed = buckets.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id")).select("key", "id", "n_shingles", "hub", "load", "comp")
-        mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.when(F.col("id") == F.col("hub"), F.col("comp"))).alias("main")).filter("lo <> hi")
-        open_ = written(_spread(placed, mixed.select("key", "main"), "key", hot), "open")
-        loads = open_.groupBy("key").agg(F.sum(F.when(F.col("comp") != F.col("main"), F.col("n_shingles")).otherwise(0)).alias("s_load"))
-        open_ = _spread(open_, loads, "key", hot).withColumn("n_a", (F.floor(F.col("load") / F.lit(BLOCK)) + 1).cast("int")).withColumn("n_s", (F.floor(F.col("s_load") / F.lit(BLOCK)) + 1).cast("int"))
+        placed = buckets.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id")).select("key", "members", "id", "n_shingles", "hub", "load", "comp")
+        mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.when(F.col("id") == F.col("hub"), F.col("comp"))).alias("main"), F.first("members").alias("n")).filter("lo <> hi").select("key", "main", "n")
+        open_ = written(joined(placed, written(mixed, "mixed"), "key"), "open")
+        loads = open_.groupBy("key").agg(F.sum(F.when(F.col("comp") != F.col("main"), F.col("n_shingles")).otherwise(0)).alias("s_load"), F.first("members").alias("n"))
+        open_ = joined(open_, written(loads, "loads"), "key").withColumn("n_a", (F.floor(F.col("load") / F.lit(BLOCK)) + 1).cast("int")).withColumn("n_s", (F.floor(F.col("s_load") / F.lit(BLOCK)) + 1).cast("int"))
         as_a = open_.select("key", F.expr("cast(pmod(xxhash64(id), n_a) as int)").alias("part_a"), F.explode(F.expr("sequence(0, n_s - 1)")).alias("part_s"), "id", "comp", F.lit("A").alias("role"))
         as_s = open_.filter("comp <> main").select("key", F.explode(F.expr("sequence(0, n_a - 1)")).alias("part_a"), F.expr("cast(pmod(xxhash64(id, 7), n_s) as int)").alias("part_s"), "id", "comp", F.lit("S").alias("role"))
-        links = written(links.unionByName(_confirmed(as_a.unionByName(as_s), sets, percent, least)), "links")
+        links = written(links.unionByName(_confirmed(as_a.unionByName(as_s), sets, percent, least, broadcast_rows)), "links")
 
     comp = components(links)
     of_class = classes.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,9 +25,37 @@ def shared_dir(spark: SparkSession) -> str:
     return set_to.rstrip("/")
 
 
+class _Stage(threading.local):
+    tables: list[str] = []  # of the pipeline stage that this thread ran last
+    open = False
+
+
+_stage = _Stage()
+
+
+@contextmanager
+def stage_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside go when this thread next enters: a pipeline's stage reads them until its own result is
+    written, which is before the next stage begins."""
+    for path in _stage.tables:
+        _delete(spark, path)
+    _stage.tables, _stage.open = [], True
+    try:
+        yield
+    finally:
+        _stage.open = False
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder; removed when the driver's JVM ends."""
     path = f"{shared_dir(spark)}/inkstrata/{name}-{uuid.uuid4().hex}"
+    if _stage.open:
+        _stage.tables.append(path)
     jvm = spark._jvm
     hadoop = jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
@@ -44,8 +75,7 @@ def drop(df: DataFrame) -> None:
     """Remove the files of a table made by written() that nothing reads any more."""
     spark = df.sparkSession
     for f in {x.rpartition("/")[0] for x in df.inputFiles()}:
-        p = spark._jvm.org.apache.hadoop.fs.Path(f)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        _delete(spark, f)
 
 
 def bounded_batches(spark: SparkSession, most: str = "4m") -> None:
