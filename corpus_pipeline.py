@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkstrata.llm import decontaminate, exact_dedup, language, near_dedup, packing
 from inkstrata.llm.queries import tokenizer_path
-from inkstrata.llm.store import bounded_batches, small, table, written
+from inkstrata.llm.store import bounded_batches, small, stage_tables, table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 NEAR = 80  # percent of shingles that near duplicates share at least
@@ -66,12 +69,26 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, tokenizer_path())
 
 
+def _stage(run: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """run, whose own tables go when the next stage begins: by then its result is written."""
+
+    @wraps(run)
+    def staged(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with stage_tables(spark):
+            return run(spark, docs, sf_dir)
+
+    return staged
+
+
 STAGES = [
-    ("language", by_language),
-    ("exact_dedup", without_copies),
-    ("near_dedup", without_near_copies),
-    ("decontaminate", without_benchmark),
-    ("pack", packed),
+    (name, _stage(run))
+    for name, run in (
+        ("language", by_language),
+        ("exact_dedup", without_copies),
+        ("near_dedup", without_near_copies),
+        ("decontaminate", without_benchmark),
+        ("pack", packed),
+    )
 ]
 
 #: Training-sample hashes, MinHash components and tokenizer ids have no SQL; tests hold the stages against brute force.
