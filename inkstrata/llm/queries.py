@@ -98,12 +98,15 @@ select conv_id, perspective, block, cast(part as bigint) part, count(*) n_turns,
 from o group by conv_id, perspective, block, part""",
     "op7_lm_score": rf"""
 with d as (select row_number() over () r, doc_id, {_SPACED_WORDS} w from documents),
-t as (select r, i, w[i] w2, case when i > 1 then w[i - 1] end w1 from (select r, w, unnest(range(1, len(w) + 1)) i from d)),
-u as (select w2 w, count(*) c from t group by 1), b as (select w1, w2, count(*) c from t where w1 is not null group by 1, 2 having count(*) >= 2),
-n as (select cast(count(*) as double) n from t),
-s as (select r, count(*) n_words, count(*) filter (t.w1 is not null and b.c is null) n_backoff,
-  sum(case when t.w1 is null then ln(u.c / n.n) when b.c is not null then ln(b.c / cast(v.c as double)) else ln(u.c / n.n) + ln(0.4) end) score
-  from t join u on u.w = t.w2 left join u v on v.w = t.w1 left join b on b.w1 = t.w1 and b.w2 = t.w2, n group by r)
+t as (select r, i, w[i] c, case when i > 1 then w[i - 1] end b, case when i > 2 then w[i - 2] end a from (select r, w, unnest(range(1, len(w) + 1)) i from d)),
+o1 as (select r, c, count(*) k from t group by all), o2 as (select r, b, c, count(*) k from t where b is not null group by all), o3 as (select r, a, b, c, count(*) k from t where a is not null group by all),
+e1 as (select r, c, sum(k) over (partition by c) - k k from o1), e2 as (select r, b, c, sum(k) over (partition by b, c) - k k from o2), e3 as (select r, a, b, c, sum(k) over (partition by a, b, c) - k k from o3),
+n as (select r, greatest(1, sum(count(*)) over () - count(*)) n from t group by r),
+x as (select t.*, e3.k k3, e2.k k2, e1.k k1, f2.k x3, f1.k x2, cast(n.n as double) n, least(3, i) top from t join n using (r) join e1 on e1.r = t.r and e1.c = t.c left join e2 on e2.r = t.r and e2.b = t.b and e2.c = t.c left join e3 on e3.r = t.r and e3.a = t.a and e3.b = t.b and e3.c = t.c
+  left join e2 f2 on f2.r = t.r and f2.b = t.a and f2.c = t.b left join e1 f1 on f1.r = t.r and f1.c = t.b),
+s as (select r, count(*) n_words, count(*) filter (not case top when 3 then k3 > 0 when 2 then k2 > 0 else k1 > 0 end) n_backoff,
+  sum(case when top = 3 and k3 > 0 then ln(k3 / cast(x3 as double)) when top >= 2 and k2 > 0 then ln(k2 / cast(x2 as double)) + (top - 2) * ln(0.4)
+    when k1 > 0 then ln(k1 / n) + (top - 1) * ln(0.4) else top * ln(0.4) - ln(n) end) score from x group by r)
 select doc_id, cast(coalesce(n_words, 0) as bigint) n_words, cast(coalesce(n_backoff, 0) as bigint) n_backoff, round(coalesce(score, 0), 3) log_score from d left join s on d.r = s.r""",
     "op8_warc_round_trip": r"""
 with q as (select page_id, octet_length(encode(coalesce(html, ''))) n, sha256(coalesce(html, '')) h from pages),

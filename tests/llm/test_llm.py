@@ -215,22 +215,33 @@ def test_cross_parsing_equals_greedy_search():
             assert count == n
 
 
-def test_lm_score_orders_and_edges(spark, edge):
-    docs = EDGE + [(10 + i, "the cat sat on the mat") for i in range(3)]
+@pytest.mark.parametrize("fan", [lm_score.FAN, 2])  # with 2, parts are merged and split again on three levels
+def test_lm_score_against_brute_force(spark, edge, monkeypatch, fan):
+    monkeypatch.setattr(lm_score, "RUN_BYTES", 60)
+    docs = [*EDGE, *[(10 + i, "the cat sat on the mat") for i in range(3)], *[(20 + i, f"the dog sat on a mat {i} and the cat sat") for i in range(6)]]
     words = [_words(t, r"[^\x20\x09-\x0D]+") for _, t in docs]
-    c = collections.Counter(tuple(w[i : i + n]) for w in words for n in (1, 2, 3) for i in range(len(w) - n + 1))
-    total = sum(map(len, words))
-
-    def score(w, i):
-        top = min(3, i + 1)
-        for n in range(top, 0, -1):
-            g = tuple(w[i - n + 1 : i + 1])
-            if n == 1 or c[g] >= 2:
-                return np.log(c[g] / (c[g[:-1]] if n > 1 else total)) + (top - n) * np.log(0.4)
-
-    want = sorted((d is None, d or 0, len(w), round(sum(score(w, i) for i in range(len(w))), 6)) for (d, _), w in zip(docs, words))
-    got = lm_score.score_documents(spark.createDataFrame(docs, DOC), order=3).collect()
-    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_words, round(r.log_score, 6)) for r in got) == want
+    own = [collections.Counter(tuple(w[i : i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1)) for w in words]
+    c = sum(own, collections.Counter())
+
+    def scored(k):
+        w, total, back = words[k], 0.0, 0
+        n_all = max(1, sum(map(len, words)) - len(w))
+        for i in range(len(w)):
+            top = min(3, i + 1)
+            known = [n for n in range(top, 0, -1) if c[g := tuple(w[i - n + 1 : i + 1])] > own[k][g]]
+            back += not known or known[0] < top
+            if not known:
+                total += top * np.log(0.4) - np.log(n_all)
+                continue
+            g = tuple(w[i - known[0] + 1 : i + 1])
+            context = c[g[:-1]] - own[k][g[:-1]] if len(g) > 1 else n_all
+            total += np.log((c[g] - own[k][g]) / context) + (top - known[0]) * np.log(0.4)
+        return len(w), back, round(total, 6)
+
+    want = sorted((d is None, d or 0, *scored(k)) for k, (d, _) in enumerate(docs))
+    frame = spark.createDataFrame([(*d, 1) for d in docs], DOC + ", n_words int").repartition(3)
+    got = lm_score.score_documents(frame, bucket_bytes=64, fan=fan).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_words, r.n_backoff, round(r.log_score, 6)) for r in got) == want
     assert lm_score.score_documents(edge.limit(0)).count() == 0
 
 
