@@ -2,84 +2,108 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkstrata.llm.store import new_path, small, written
+from inkstrata.llm.skew import join_by_key
+from inkstrata.llm.store import new_path, written
 
-SEGMENT_CHARS = 16_384  # a longer block is cut into continuation records
-CHUNK_CHARS = 6_000  # of a chunk; payloads longer than one chunk are sent chunked
+SEGMENT_BYTES = 65_536  # a longer block is cut into continuation records
+CHUNK_BYTES = 16_384  # of a chunk; payloads longer than one chunk are sent chunked
 LEAST_REVISIT = 100  # payload bytes from which an equal payload becomes a revisit
-RECORDS_PER_FILE = 1_000
+RECORDS_PER_FILE = 1_000  # with SEGMENT_BYTES this bounds a file at 66 MB before compression
 DATE = "2026-01-01T00:00:00Z"
 CRLF = "\r\n"
+NOTHING = bytes.fromhex("1f8b08000000000002ff03000000000000000000")  # a gzip member of no bytes, which Spark's writer sets between records
 
 
-def _header(name: str, value: Column | str) -> Column:
-    v = value if isinstance(value, Column) else F.lit(value)
-    return F.coalesce(F.concat(F.lit(f"{name}: "), v.cast("string"), F.lit(CRLF)), F.lit(""))
+def _record(fields: list[tuple[str, object]], part: bytes) -> bytes:
+    """A record as a gzip member of its own. Fields without a value have no line."""
+    head = "".join(f"{k}: {v}{CRLF}" for k, v in fields if v is not None)
+    return gzip.compress(f"WARC/1.1{CRLF}{head}Content-Length: {len(part)}{CRLF}{CRLF}".encode() + part + b"\r\n\r\n", 5, mtime=0)
+
+
+def _block(payload: bytes, revisit: bool) -> bytes:
+    """The HTTP response, chunked if it is long; of a revisit only its head."""
+    head = f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}"
+    if revisit or len(payload) <= CHUNK_BYTES:
+        return f"{head}Content-Length: {len(payload)}{CRLF}{CRLF}".encode() + (b"" if revisit else payload)
+    chunks = [payload[i : i + CHUNK_BYTES] for i in range(0, len(payload), CHUNK_BYTES)]
+    return b"".join([f"{head}Transfer-Encoding: chunked{CRLF}{CRLF}".encode(), *(x for c in chunks for x in (b"%x\r\n" % len(c), c, b"\r\n")), b"0\r\n\r\n"])
+
+
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[bytes] = []
+    for batch in batches:
+        for page, url, html, row, digest, first_row, first_page in zip(*batch.columns):
+            payload, row, first_row = html.as_buffer().to_pybytes(), row.as_py(), first_row.as_py()
+            page, digest, first_page = page.as_py(), digest.as_py(), first_page.as_py()
+            revisit = first_row is not None and first_row != row
+            block = _block(payload, revisit)
+            parts = [block[i : i + SEGMENT_BYTES] for i in range(0, len(block), SEGMENT_BYTES)]
+            target = None if url.as_py() is None else re.sub("[\r\n]+", " ", url.as_py())
+            common, cut = [("WARC-Date", DATE), ("WARC-Target-URI", target)], len(parts) > 1
+            for k, part in enumerate(parts, 1):
+                if k == 1:
+                    fields = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", _urn(row)), *common, ("Content-Type", "application/http; msgtype=response"), ("X-Page-Id", page), ("WARC-Payload-Digest", f"sha256:{digest}")]
+                    if revisit:
+                        fields += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", _urn(first_row)), ("X-Refers-To-Page-Id", first_page)]
+                else:
+                    fields = [("WARC-Type", "continuation"), ("WARC-Record-ID", _urn(f"{row}:{k}")), *common, ("WARC-Segment-Origin-ID", _urn(row))]
+                fields += [("WARC-Segment-Number", k if cut else None), ("WARC-Segment-Total-Length", len(block) if cut and k == len(parts) else None)]
+                held.append(_record(fields, part))
+            if sum(map(len, held)) > 1_000_000:
+                yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], names=["value"])
+                held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], names=["value"])
+
+
+def _urn(row: object) -> str:
+    return f"<urn:inkstrata:row:{row}>"
 
 
 def write_archives(pages: DataFrame, path: str) -> None:
-    """One record, and its continuations, for each row of pages (page_id, url, html), as gzipped WARC/1.1 files under path.
+    """One record, and its continuations, for each row of pages (page_id, url, html), as WARC/1.1 files of gzip members under path.
 
     The payload is html in UTF-8 (null: empty). Of equal payloads of at least LEAST_REVISIT bytes the row
     with the smallest page_id is a response and the others are revisits without body. Every other record is a response.
-    Payloads of more than CHUNK_CHARS characters are framed as chunked; blocks of more than
-    SEGMENT_CHARS are cut into segments. Line ends in url become blanks; a null url or page_id has no header line."""
-    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), F.monotonically_increasing_id().alias("row_id"))
-    rows = rows.withColumn("digest", F.sha2("html", 256)).withColumn("n", F.octet_length("html"))
-    order = F.struct(F.col("page_id").isNull().alias("x"), "page_id", "row_id")
-    firsts = rows.filter(F.col("n") >= LEAST_REVISIT).groupBy("digest").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("copies")).filter("copies > 1").select("digest", "first")
-    rows = rows.join(small(written(firsts, "firsts"), 200_000), "digest", "left")
-    revisit = (F.col("n") >= LEAST_REVISIT) & F.col("first").isNotNull() & (F.col("first.row_id") != F.col("row_id"))
-
-    def urn(row: Column) -> Column:
-        return F.concat(F.lit("<urn:inkstrata:row:"), row.cast("string"), F.lit(">"))
-
-    chunked = F.expr(
-        f"concat(array_join(transform(sequence(0, cast(floor((length(html) - 1) / {CHUNK_CHARS}) as int)), i -> concat(lower(hex(octet_length(substring(html, i * {CHUNK_CHARS} + 1, {CHUNK_CHARS})))), '\\r\\n', substring(html, i * {CHUNK_CHARS} + 1, {CHUNK_CHARS}), '\\r\\n')), ''), '0\\r\\n\\r\\n')"
-    )
-    long = F.length("html") > CHUNK_CHARS
-    http = F.concat(
-        F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}"),
-        F.when(long & ~F.col("revisit"), F.lit(f"Transfer-Encoding: chunked{CRLF}")).otherwise(_header("Content-Length", F.col("n"))),
-        F.lit(CRLF),
-    )
-    rows = rows.withColumn("revisit", F.coalesce(revisit, F.lit(False)))
-    rows = rows.withColumn("block", F.when(F.col("revisit"), http).when(long, F.concat(http, chunked)).otherwise(F.concat(http, "html")))
-    rows = rows.withColumn("total", F.octet_length("block")).withColumn("n_seg", F.greatest(F.lit(1), F.ceil(F.length("block") / SEGMENT_CHARS)).cast("int"))
-    rows = rows.select("*", F.explode(F.sequence(F.lit(1), F.col("n_seg"))).alias("seg"))
-    part = F.when(F.col("n_seg") == 1, F.col("block")).otherwise(F.substring(F.col("block"), (F.col("seg") - 1) * SEGMENT_CHARS + 1, F.lit(SEGMENT_CHARS)))
-    rows = rows.withColumn("part", part)
-    first = F.col("seg") == 1
-    record = F.concat(
-        F.lit(f"WARC/1.1{CRLF}"),
-        _header("WARC-Type", F.when(~first, "continuation").when(F.col("revisit"), "revisit").otherwise("response")),
-        _header("WARC-Record-ID", F.when(first, urn(F.col("row_id"))).otherwise(F.concat(F.lit("<urn:inkstrata:row:"), F.col("row_id").cast("string"), F.lit(":"), F.col("seg").cast("string"), F.lit(">")))),
-        _header("WARC-Date", DATE),
-        _header("WARC-Target-URI", F.regexp_replace("url", "[\r\n]+", " ")),
-        _header("Content-Type", F.when(first, "application/http; msgtype=response")),
-        _header("X-Page-Id", F.when(first, F.col("page_id"))),
-        _header("WARC-Payload-Digest", F.when(first, F.concat(F.lit("sha256:"), "digest"))),
-        _header("WARC-Profile", F.when(first & F.col("revisit"), "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
-        _header("WARC-Refers-To", F.when(first & F.col("revisit"), urn(F.col("first.row_id")))),
-        _header("X-Refers-To-Page-Id", F.when(first & F.col("revisit"), F.col("first.page_id"))),
-        _header("WARC-Segment-Number", F.when(F.col("n_seg") > 1, F.col("seg"))),
-        _header("WARC-Segment-Origin-ID", F.when(~first, urn(F.col("row_id")))),
-        _header("WARC-Segment-Total-Length", F.when((F.col("n_seg") > 1) & (F.col("seg") == F.col("n_seg")), F.col("total"))),
-        _header("Content-Length", F.octet_length("part")),
-        F.lit(CRLF),
-        F.col("part"),
-    )
-    writer = rows.select(record.alias("value")).write.option("lineSep", CRLF * 2).option("compression", "gzip")
-    writer.option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)  # each record ends with two line ends
+    Payloads of more than CHUNK_BYTES are framed as chunked; blocks of more than
+    SEGMENT_BYTES are cut into segments. Line ends in url become blanks; a null url or page_id has no header line.
+
+    Rows are written with their numbers first, which name the records. Each record is a gzip member, so readers can seek to it; Spark's
+    writer, whose files its commit protocol guards against lost tasks, sets a member of no bytes after each."""
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
+    rows = written(rows.select("page_id", "url", F.col("html").cast("binary").alias("html"), F.monotonically_increasing_id().alias("row_id"), F.sha2("html", 256).alias("digest"), F.octet_length("html").alias("n")), "pages")
+    order = F.struct(F.isnull("page_id").alias("none"), "page_id", "row_id")
+    firsts = rows.filter(F.col("n") >= LEAST_REVISIT).groupBy("digest").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    firsts = written(firsts.select("digest", F.col("first.row_id").alias("first_row"), F.col("first.page_id").alias("first_page"), "copies"), "firsts")
+    rows = join_by_key(rows, firsts, ["digest"], "copies", F.col("row_id"), how="left")
+    made = rows.select("page_id", "url", "html", "row_id", "digest", "first_row", "first_page").mapInArrow(_records, "value binary")
+    writer = made.selectExpr("cast(value as string) value").write.option("lineSep", NOTHING.decode("latin-1")).option("encoding", "ISO-8859-1")
+    writer.option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+
+
+def unzipped(raw: bytes) -> bytes:
+    """The bytes of all members of a gzip file."""
+    out, at, z = [], 0, zlib.decompressobj(31)
+    while at < len(raw):
+        got = raw[at : at + 65_536]
+        at += len(got)
+        while got:
+            out.append(z.decompress(got))
+            got = z.unused_data
+            if z.eof:
+                z = zlib.decompressobj(31)
+    return b"".join(out)
 
 
 def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -128,9 +152,9 @@ def payload_of(block: bytes) -> tuple[bytes, int]:
     return body, int(fields.get("content-length", -1))
 
 
-_OUT = "origin string, page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, seg int, total long, block binary"
+_OUT = "origin string, page_id long, url string, record_type string, refers string, payload_bytes long, payload_digest string, seg int, total long, block binary"
 _NAMES = [x.split()[0] for x in _OUT.split(", ")]
-_TYPES = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.binary()]
+_TYPES = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.binary()]
 
 
 def _int(x: str | None) -> int | None:
@@ -138,27 +162,21 @@ def _int(x: str | None) -> int | None:
 
 
 def _judged(head: dict, block: bytes) -> tuple:
-    kind, told = head["warc-type"], head.get("warc-payload-digest", "").removeprefix("sha256:")
-    payload, n = payload_of(block)
-    if kind == "revisit":
-        digest = told
-    else:
-        digest, n = hashlib.sha256(payload).hexdigest(), len(payload)
-        if told and told != digest:
-            raise ValueError(f"payload of {head['warc-record-id']} doesn't have its digest")
-    return (head["warc-record-id"], _int(head.get("x-page-id")), head.get("warc-target-uri"), kind, _int(head.get("x-refers-to-page-id")), n, digest, None, None, None)
+    """The row of a whole record; the digest of a response's payload must be the one it was given."""
+    kind, digest, n = head["warc-type"], head.get("warc-payload-digest", "").removeprefix("sha256:"), None
+    if kind != "revisit":
+        payload, length = payload_of(block)
+        told, digest, n = digest, hashlib.sha256(payload).hexdigest(), len(payload)
+        if told and told != digest or length not in (-1, n):
+            raise ValueError(f"payload of {head['warc-record-id']} doesn't have its digest or length")
+    return (head["warc-record-id"], _int(head.get("x-page-id")), head.get("warc-target-uri"), kind, head.get("warc-refers-to"), n, digest, None, None, None)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for content in batch.column("content"):
-            data, raw = b"", content.as_buffer().to_pybytes()
-            while raw:  # each member of a gzip file
-                z = zlib.decompressobj(31)
-                data += z.decompress(raw)
-                raw = z.unused_data
             rows, cut = [], {}
-            for head, block in records(data):
+            for head, block in records(unzipped(content.as_buffer().to_pybytes())):
                 if "warc-segment-number" in head:
                     cut.setdefault(head.get("warc-segment-origin-id", head["warc-record-id"]), []).append((head, block))
                 elif head["warc-type"] in ("response", "revisit"):
@@ -169,9 +187,9 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     rows.append(_judged(next(h for h, _ in found if h["warc-type"] != "continuation"), reassemble(parts)))
                     continue
                 for (h, _), (seg, b, total) in zip(found, parts):  # the rest is in other files
-                    rows.append((origin, _int(h.get("x-page-id")), h.get("warc-target-uri"), h["warc-type"], _int(h.get("x-refers-to-page-id")), None, h.get("warc-payload-digest"), seg, total, b))
-            for at in range(0, len(rows), 500):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at : at + 500]), _TYPES)], names=_NAMES)
+                    rows.append((origin, _int(h.get("x-page-id")), h.get("warc-target-uri"), h["warc-type"], h.get("warc-refers-to"), None, h.get("warc-payload-digest"), seg, total, b))
+            for at in range(0, len(rows), 100):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at : at + 100]), _TYPES)], names=_NAMES)
 
 
 def _rejoin(group: pd.DataFrame) -> pd.DataFrame:
@@ -179,8 +197,20 @@ def _rejoin(group: pd.DataFrame) -> pd.DataFrame:
     first = group[group.record_type != "continuation"].iloc[0]
     head = {"warc-type": first.record_type, "warc-record-id": first.origin, "warc-payload-digest": first.payload_digest or ""}
     row = list(_judged(head, block))
-    row[1], row[2], row[4] = (None if pd.isna(first.page_id) else int(first.page_id)), first.url, (None if pd.isna(first.refers_to) else int(first.refers_to))
-    return pd.DataFrame([row], columns=_NAMES).astype({"page_id": "Int64", "refers_to": "Int64", "payload_bytes": "Int64", "seg": "Int32", "total": "Int64"})
+    row[1], row[2] = (None if pd.isna(first.page_id) else int(first.page_id)), first.url
+    return pd.DataFrame([row], columns=_NAMES).astype({"page_id": "Int64", "payload_bytes": "Int64", "seg": "Int32", "total": "Int64"})
+
+
+def resolved(found: DataFrame) -> DataFrame:
+    """Records with each revisit's payload taken from the response that it refers to by record id, which must be there and have the revisit's digest."""
+    columns = ["origin", "page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest"]
+    responses = found.filter("record_type <> 'revisit'").withColumn("refers_to", F.lit(None).cast("long")).select(columns)
+    revisits = found.filter("record_type = 'revisit'").select("origin", "page_id", "url", "record_type", "refers", F.col("payload_digest").alias("told"))
+    asked = revisits.groupBy("refers").agg(F.count(F.lit(1)).alias("copies"))
+    targets = responses.select(F.col("origin").alias("refers"), F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest").join(asked, "refers")
+    revisits = join_by_key(revisits, written(targets, "targets"), ["refers"], "copies", F.col("origin"), how="left")
+    checked = F.when(F.col("told") == F.col("payload_digest"), F.col("payload_digest")).otherwise(F.raise_error(F.concat(F.col("origin"), F.lit(" refers to no record with its digest"))))
+    return responses.unionByName(revisits.withColumn("payload_digest", checked).select(columns))
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -188,13 +218,12 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
     Segments of a record are put together where one file has all of them; else they are grouped by their origin's
     id, ordered by number and checked against the total length. Chunked framing is decoded and the digest of each
-    payload recomputed and checked. A revisit's digest and length are those its record names. A missing or
-    repeated segment, a cut chunk or a wrong digest is an error, never a silent loss."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
+    payload recomputed and checked. A revisit is looked up among the records read: see resolved(). A missing or
+    repeated segment, a cut chunk, a wrong digest or a reference to nothing is an error, never a silent loss. A task holds one file."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
     found = written(files.mapInArrow(_read, _OUT), "records")
-    whole = found.filter("seg is null")
     rest = found.filter("seg is not null").groupBy("origin").applyInPandas(_rejoin, _OUT)
-    return whole.unionByName(rest).drop("seg", "total", "block")
+    return resolved(found.filter("seg is null").unionByName(rest))
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:

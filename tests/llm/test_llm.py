@@ -257,6 +257,45 @@ def test_warc_segments_in_other_files(spark, monkeypatch):
     assert warc.dechunk(b"3;x=1\r\nabc\r\n0\r\n\r\n") == b"abc"
 
 
+def test_warc_revisits_are_looked_up(spark):
+    names = "origin string, page_id long, url string, record_type string, refers string, payload_bytes long, payload_digest string"
+    response, revisit = ("a", 1, "u", "response", None, 7, "d"), ("b", 2, "u", "revisit", "a", None, "d")
+    got = warc.resolved(spark.createDataFrame([response, revisit], names)).collect()
+    assert [(r.page_id, r.refers_to, r.payload_bytes) for r in sorted(got)] == [(1, None, 7), (2, 1, 7)]
+    for wrong in (("b", 2, "u", "revisit", "gone", None, "d"), ("b", 2, "u", "revisit", "a", None, "other")):
+        with pytest.raises(Exception, match="refers to no record"):
+            warc.resolved(spark.createDataFrame([response, wrong], names)).collect()
+
+
+def test_warc_records_are_members(spark, tmp_path):
+    warc.write_archives(spark.createDataFrame([(i, "u", "page %d " % i * 20) for i in range(5)], "page_id long, url string, html string").coalesce(1), f"{tmp_path}/w")
+    (raw,) = [p.read_bytes() for p in (tmp_path / "w").glob("part-*")]
+    alone = [x for x in (m[:-len(warc.NOTHING)] for m in re.split(b"(?<=" + re.escape(warc.NOTHING) + b")", raw)) if x]
+    assert [len(list(warc.records(warc.unzipped(x)))) for x in alone] == [1] * 5 and len(list(warc.records(warc.unzipped(raw)))) == 5
+    assert warc.archive_round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_warc_when_splits_change_between_scans(spark, monkeypatch):
+    folder = DATA.replace("0.001", "0.01")
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    twice, calls = pages.unionByName(pages), []
+
+    def after_first(df, name):
+        out = written(df, name)
+        if not calls:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+        calls.append(name)
+        return out
+
+    monkeypatch.setattr(warc, "written", after_first)
+    try:
+        got = warc.archive_round_trip(twice).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    long = [r for r in got if r.payload_bytes >= 100]
+    assert len(got) == twice.count() and collections.Counter(r.record_type for r in long)["response"] == len({r.payload_digest for r in long})
+
+
 def test_licenses_against_brute_force(spark, edge):
     notice = licenses.TEMPLATES["MIT"]
     changed = notice.replace("free of charge", "at no charge whatever").replace("Software", "Work", 1)
