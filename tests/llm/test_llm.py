@@ -196,16 +196,17 @@ def test_language_held_out(spark, edge):
     assert language.predict(["Bacab a dab", "yxz"], model)[0][0] == "a"
 
 
-def test_cross_parsing_equals_greedy_search():
+@pytest.mark.parametrize("block", [1024, 7, 2])  # small blocks begin within phrases all the time
+def test_cross_parsing_equals_greedy_search(monkeypatch, block):
+    monkeypatch.setattr(language, "BLOCK", block)
     rng = np.random.default_rng(0)
-    sample = "".join(rng.choice(list("abc"), 60))
-    model = language.Model({"x": [sample], "y": ["cab" * 9]})
-    table, roots, _ = language._built(model.key())
-    texts = ["".join(rng.choice(list("abcd"), int(n))) for n in rng.integers(1, 90, 40)]
-    codes, lens = language._codes(texts)
-    got = language.phrases(model.symbols()[codes], lens, table, roots)
-    for row, known in zip(got, (sample, "cab" * 9)):
-        for t, n in zip(texts, row):
+    samples = ["".join(rng.choice(list("abcé"), 60)), "cab" * 9, "中文字" * 3 + "文中"]
+    model = language.Model({str(i): [x] for i, x in enumerate(samples)})
+    parser = language.Parser(model.key())
+    texts = ["".join(rng.choice(list("abcdé中文字"), int(n))) for n in rng.integers(1, 90, 60)] + ["cab" * 40, "", "中文字" * 30]
+    data, lens, _ = language._letters(texts)
+    for row, known in zip(parser.phrases(data, lens), (x.encode() for x in samples)):
+        for t, n in zip((x.encode() for x in texts), row):
             at = count = 0
             while at < len(t):
                 k = 1
@@ -215,6 +216,19 @@ def test_cross_parsing_equals_greedy_search():
             assert count == n
 
 
+def test_language_of_long_rows_and_large_alphabets(spark):
+    rng = np.random.default_rng(1)
+    def said(letters, n):
+        words = ["".join(rng.choice(letters, int(k))) for k in rng.integers(2, 5, 40)]
+        return [" ".join(rng.choice(words, n)) for _ in range(12)]
+    han, kana = [chr(0x4E00 + i) for i in range(400)], [chr(0x3041 + i) for i in range(80)]
+    rows = [(lang, t) for lang, texts in (("zh", said(han, 80)), ("ja", said(kana, 80)), ("long", said(list("abcdefg"), 30_000)), ("en", said(list("etaoin"), 80))) for t in texts]
+    docs = spark.createDataFrame([(i, t, lang, 1.0) for i, (lang, t) in enumerate(rows)], DOC + ", lang string, bits double")
+    got = language.identify(docs).collect()
+    assert all(r.lang == r.lang_pred for r in got) and len(got) == len(rows)
+    assert language.identify(docs.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("fan", [lm_score.FAN, 2])  # with 2, parts are merged and split again on three levels
 def test_lm_score_against_brute_force(spark, edge, monkeypatch, fan):
     monkeypatch.setattr(lm_score, "RUN_BYTES", 60)
