@@ -80,17 +80,38 @@ def test_directory_doubles(spark):
     assert max(held.values()) <= 200 and len(slots) & (len(slots) - 1) == 0
 
 
-@pytest.mark.parametrize("n", [1, 3, 16])
-def test_shard_law(spark, n):
-    docs = spark.read.parquet(f"{DATA}/documents.parquet")
-    rows = shards.shard(docs, n, ranges=8).collect()
-    size, slots = collections.Counter(), collections.defaultdict(list)
+def _check_shards(docs, rows, n, slack):
+    want = sorted((str(d), len((t or "").encode()) + 1, zlib.crc32((t or "").encode()), "bytes", None) for d, t in docs)
+    assert sorted((str(r.doc_id), r.size, r.text_crc32, r.law, r.grown_shard) for r in rows) == want
+    size, slots = collections.Counter({i: 0 for i in range(n)}), collections.defaultdict(list)
     for r in rows:
+        assert 0 <= r.shard < n
         size[r.shard] += r.size
         slots[r.shard].append(r.slot)
-    most = max(r.size for r in rows)
-    assert len(rows) == docs.count() and all(sorted(v) == list(range(len(v))) for v in slots.values())
-    assert max(size.values()) - min(size[s] for s in range(n)) <= 2.5 * most
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    assert max(size.values()) - min(size.values()) <= slack
+    text, shards_of = {str(d): t for d, t in docs}, collections.defaultdict(set)
+    for r in rows:
+        shards_of[text[str(r.doc_id)]].add(r.shard)
+    return size, shards_of
+
+
+@pytest.mark.parametrize("n", [1, 3, 16])
+def test_shards_against_brute_force(spark, n):
+    frame = spark.read.parquet(DATA.replace("0.001", "0.01") + "/documents.parquet").select("doc_id", "text")
+    docs = [tuple(r) for r in frame.collect()]
+    size, shards_of = _check_shards(docs, shards.shard(frame, n, ranges=8).collect(), n, 2.5 * max(len((t or "").encode()) + 1 for _, t in docs))
+    assert all(len(v) == 1 for v in shards_of.values())
+
+
+def test_shards_keep_groups_whole_and_cut_only_what_is_larger(spark):
+    docs = [(i, "a" * 99) for i in range(400)]  # a third of all bytes: more than a shard
+    docs += [(1000 + 100 * k + i, f"group {k} " + "b" * 91) for k in range(9) for i in range(40)]  # 0.6 of a shard each
+    docs += [(5000 + i, f"{i:05d}" * 10) for i in range(900)]
+    frame = spark.createDataFrame(docs, DOC).repartition(5)
+    size, shards_of = _check_shards(docs, shards.shard(frame, 16, ranges=8).collect(), 16, 400)
+    whole = {t: len(v) for t, v in shards_of.items()}
+    assert 6 <= whole.pop("a" * 99) <= 8 and set(whole.values()) == {1}
 
 
 def test_shard_edges(spark, edge):
