@@ -19,6 +19,11 @@ _BREAKS = "".join(chr(c) for c in (*range(0x00, 0x30), *range(0x3A, 0x41), *rang
 _FROM, _TO = string.ascii_uppercase + _BREAKS, string.ascii_lowercase + " " * len(_BREAKS)
 
 
+def _width(own: str) -> Column:
+    """Bytes of a row with a list of items, beside its fixed columns."""
+    return F.expr(f"{own} + octet_length(array_join(items, ',')) + 16 * size(items)")
+
+
 def words(text: Column) -> Column:
     """Runs of digits, ASCII letters (lower-cased) and non-ASCII characters; null has none."""
     return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), _FROM, _TO), " ", -1), "")
@@ -120,7 +125,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, broadcast_rows: int
         .select("len", "run", F.split("run", " ").alias("v"))
         .select("len", "run", "v", F.explode(F.expr("sequence(1, size(v) - len + 1)")).alias("at"))
         .select("len", "run", "at", F.expr("array_join(slice(v, at, len), ' ')").alias("window"))
-        .join(small(windows.select("len", "window", "items"), broadcast_rows), ["len", "window"])
+        .join(small(windows.select("len", "window", "items"), broadcast_rows, _width("octet_length(window)")), ["len", "window"])
     )
     islands = (
         hits.withColumn("new", (F.col("at") > F.lag("at").over(of_run) + F.col("len")).cast("int"))
@@ -131,7 +136,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, broadcast_rows: int
         .agg(F.collect_list(F.struct("from", "to")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
     )
     verified = written(islands, "verified")
-    spans = runs.join(small(verified, broadcast_rows), ["len", "run"]).select("row_id", "items", F.explode("spans").alias("s"), "start")
+    spans = runs.join(small(verified, broadcast_rows, _width("octet_length(run) + 16 * size(spans)")), ["len", "run"]).select("row_id", "items", F.explode("spans").alias("s"), "start")
     spans = spans.select("row_id", "items", (F.col("start") + F.col("s.from")).alias("a"), (F.col("start") + F.col("s.to")).alias("b"))
     before = Window.partitionBy("row_id").orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)
     per_row = (

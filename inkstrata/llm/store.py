@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Only for local sessions that name no shared folder, such as tests.
@@ -86,10 +86,11 @@ def bounded_batches(spark: SparkSession, most: str = "4m") -> None:
         spark.conf.set(key, most)
 
 
-def small(df: DataFrame, most_rows: int) -> DataFrame:
-    """df with a broadcast hint if its count is at most most_rows; else as it is, and the
-    join shuffles. df should be cheap to count, such as a written table."""
-    return F.broadcast(df) if df.count() <= most_rows else df
+def small(df: DataFrame, most_rows: int, width: Column | None = None, most_bytes: int = 64_000_000) -> DataFrame:
+    """df with a broadcast hint if it has at most most_rows rows, and by width, the bytes of a row's own strings and arrays, at most
+    most_bytes; else as it is, and the join shuffles. df should be cheap to count, such as a written table."""
+    n, held = df.agg(F.count(F.lit(1)), F.sum(width if width is not None else F.lit(0))).first()
+    return F.broadcast(df) if n <= most_rows and (held or 0) <= most_bytes else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -60,6 +60,28 @@ def test_decontaminate_short_items_and_edges(spark):
     assert not any(r.contaminated for r in none.collect())
 
 
+def test_clashing_columns_change_nothing(spark):
+    """Every operator beside columns named like its own and its inner ones."""
+    docs = spark.createDataFrame([(d, t, 1, "y", 2.0, 3, True, 4, 5, 6) for d, t in EDGE if d != 5], DOC + ", h long, kept string, score double, row_id int, contaminated boolean, k int, n_words int, run int")
+    plain = docs.select("doc_id", "text")
+    bench = spark.createDataFrame([(1, "a b c", "w", 2)], "item_id long, text string, window string, len int")
+    for op in (lambda d: decontaminate.decontaminate(d, bench), exact_dedup.exact_dedup, lambda d: shards.shard(d, 2).drop("slot", "shard"), near_dedup.near_duplicates, lambda d: lm_score.score_documents(d), licenses.scan_licenses):
+        assert collections.Counter(op(docs).collect()) == collections.Counter(op(plain).collect())
+    model = language.Model({"a": ["a b c wort"]})
+    assert sorted(map(str, language.identify(docs, model).select("doc_id", "lang_pred", "score").collect())) == sorted(map(str, language.identify(plain, model).select("doc_id", "lang_pred", "score").collect()))
+    assert "lang_pred" in language.identify(docs, model).columns and decontaminate.decontaminate(docs.limit(0), bench).count() == 0
+
+
+def test_long_texts(spark):
+    rng = np.random.default_rng(2)
+    words = [f"w{i}" for i in rng.integers(0, 5000, 60_000)]
+    docs = [(1, " ".join(words)), (2, " ".join([*words[:-300], *(f"y{i}" for i in range(300))])), (3, " ".join(words[:30_000]))]
+    frame = spark.createDataFrame(docs, DOC)
+    items = [(1, " ".join(words[59_950:])), (2, "not there at all")]
+    assert sorted(map(tuple, decontaminate.decontaminate(frame, spark.createDataFrame(items, "item_id long, text string")).collect()), key=str) == _contamination(docs, items)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(frame).collect()), key=str) == _near(docs)
+
+
 def test_exact_dedup_edges(spark, edge):
     rows = exact_dedup.exact_dedup(edge).collect()
     groups = collections.defaultdict(list)
@@ -360,31 +382,68 @@ def test_licenses_adjacent_and_scattered(spark):
     assert collections.Counter((r.doc_id, r.license, r.matched) for r in got) == {(1, "MIT/line", 5): 3, (2, "CC-BY-NC-4.0/line", 7): 2, (3, "Apache-2.0/line", 8): 2, (4, "MIT/line", 4): 1, (5, "MIT/line", 5): 2, (5, "MIT/line", 4): 1, (6, "MIT/line", 4): 1, (7, "MIT/line", 5): 1, (9, "MIT/line", 5): 2, (9, "MIT/line", 4): 1}
 
 
+def test_every_license_once_to_five_times(spark):
+    """Each template by itself, repeated side by side, is found as often at full coverage, where no other template contains it."""
+    names = sorted(licenses.TEMPLATES)
+    docs = [(100 * i + n, " ".join([licenses.TEMPLATES[name]] * n)) for i, name in enumerate(names) for n in range(1, 6)]
+    got = collections.Counter((r.doc_id, r.license) for r in licenses.scan_licenses(spark.createDataFrame(docs, DOC)).collect() if r.coverage == 1)
+    assert all(got[100 * i + n, name] == n for i, name in enumerate(names) for n in range(1, 6))
+    assert len({n.partition("/")[0] for n in names}) >= 20
+    clash = spark.createDataFrame([(1, licenses.TEMPLATES["ISC"], "x", 0)], DOC + ", license string, matched int")
+    assert [r.license for r in licenses.scan_licenses(clash).collect()] == ["ISC"]
+    assert licenses.scan_licenses(clash.limit(0)).count() == 0
+
+
 def test_packing_round_trip(spark, edge):
-    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").unionByName(edge.filter("doc_id > 1").filter("doc_id <> 4").withColumn("doc_id", F.col("doc_id") + 10**6).select("doc_id", "text"))
-    rows = packing.pack_documents(docs, q.tokenizer_path(), block_tokens=50_000).collect()
-    ids = {r.doc_id: x + packing._END for r, x in ((r, packing.Encoder(q.tokenizer_path())._slow([r.text or ""])[0]) for r in docs.collect())}
-    pieces, seqs = collections.defaultdict(list), collections.defaultdict(list)
+    encoder = packing.Encoder(q.tokenizer_path())
+    odd = [(7, "Don't we'LL x's '' <|ENDOFTEXT|> <|endoftext|> a<|b"), (8, "H\u0331 \u1e96 \u0130x I\u0307 \u03a3\u03a3 \u03c3"), (9, "a\x1cb \x1f A\xa0B\u2003C\u0085D \x00"), (10, "12/34 A1b2 ,., ;a; \u00e9t\u00e9, \u4e2d\u6587\u3002"), (11, "x" * 70_000)]
+    docs = [tuple(r) for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect()] + EDGE + odd
+    want = collections.Counter((d, ids) for (d, _), ids in zip(docs, (encoder._slow([t or ""])[0] + packing._END for _, t in docs)))
+    frame = spark.createDataFrame([(*r, 3, "x") for r in docs], DOC + ", length int, start string").repartition(4)
+    rows = packing.pack_documents(frame, q.tokenizer_path(), block_tokens=50_000).collect()
+    seqs, by_doc = collections.defaultdict(list), collections.defaultdict(list)
     for r in rows:
-        pieces[r.doc_id].append(r)
         seqs[r.sequence_id].append((r.offset, r.length))
-    assert set(pieces) == set(ids)
-    for d, rs in pieces.items():
-        at = 0
-        for r in sorted(rs, key=lambda r: r.start):
-            assert r.start == at and r.doc_tokens == len(ids[d]) // 4
-            assert r.ids_crc32 == zlib.crc32(ids[d][4 * at : 4 * (at + r.length)])
-            at += r.length
-        assert at == len(ids[d]) // 4
+        by_doc[r.doc_id, r.doc_tokens].append((r.start, r.length, r.ids_crc32))
     for s in seqs.values():
         at = 0
         for offset, n in sorted(s):
             assert offset == at
             at += n
         assert at <= 2048
+    for (d, n), pieces in by_doc.items():  # rows that share id and length can't be told apart: their pieces are those of one after the other
+        of = [ids for (doc, ids), times in want.items() if doc == d and len(ids) == 4 * n for _ in range(times)]
+        assert of and sum(p[1] for p in pieces) == n * len(of)
+        for start, length, crc in pieces:
+            assert crc in {zlib.crc32(ids[4 * start : 4 * (start + length)]) for ids in of}
+        if len(of) == 1:
+            at = 0
+            for start, length, _ in sorted(pieces):
+                assert start == at
+                at += length
+    assert {(d, len(ids) // 4) for d, ids in want} == set(by_doc)
     used = sum(r.length for r in rows)
-    assert len(seqs) * 2048 - used <= 2048 * (used // 50_000 + 1 + docs.rdd.getNumPartitions())
-    assert packing.pack_documents(docs.limit(0), q.tokenizer_path()).count() == 0
+    assert used == sum(len(ids) // 4 * n for (_, ids), n in want.items())
+    assert len(seqs) * 2048 - used <= 2048 * (used // 50_000 + 1 + 4)
+    assert packing.pack_documents(frame.limit(0), q.tokenizer_path()).count() == 0
+
+
+@pytest.mark.parametrize("length", [1, 7, 16])
+def test_packs_leave_one_sequence_unfilled_at_most(length):
+    rng = np.random.default_rng(length)
+    for _ in range(200):
+        sizes = rng.integers(1, 60, int(rng.integers(0, 50))).tolist()
+        used, of = collections.defaultdict(list), collections.defaultdict(list)
+        for d, start, n, q_, offset in packing.pack(sizes, length):
+            used[q_].append((offset, n))
+            of[d].append((start, n))
+        for parts in (*used.values(), *of.values()):
+            at = 0
+            for begin, n in sorted(parts):
+                assert begin == at and n > 0
+                at += n
+        assert [sum(n for _, n in of[d]) for d in range(len(sizes))] == sizes
+        assert sum(sum(n for _, n in v) < length for v in used.values()) <= 1
 
 
 def test_pipeline_stages(spark):
