@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,9 +20,9 @@ from inkstrata.llm.vector import SPACES, ngram_hashes, slices, word_hashes, word
 
 ORDER = 3
 BACKOFF = 0.4
-RUN_BYTES = 4_000_000  # of text whose n-grams travel together
-BUCKET_BYTES = 24_000_000  # of text for each partition of the count tables
-FAN = 64  # partitions that a run's n-grams are split over at once
+RUN_BYTES = 6_000_000  # of text whose n-grams travel together
+BUCKET_BYTES = 12_000_000  # of text for each partition of the count tables
+FAN = 256  # partitions that a run's n-grams are split over at once
 
 
 def _grams(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
@@ -92,7 +93,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, j, data, offsets in slices(batch.column("text"), RUN_BYTES):
             n_words = len(word_spans(data, offsets, SPACES)[0])
             ids = batch.column("doc_id").slice(i, j - i)
-            row = [(TaskContext.get().partitionId() << 32) + n, n_words, zstandard.compress(data.tobytes(), 1), offsets.astype("<i8").tobytes(), ids.to_pylist()]
+            row = [(TaskContext.get().partitionId() << 32) + n, n_words, zstandard.compress(data.tobytes(), 9), offsets.astype("<i8").tobytes(), ids.to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())))], names=["run", "n_words", "data", "offsets", "ids"])
             n += 1
 
@@ -148,9 +149,12 @@ def _back(units: pd.DataFrame, below: pd.DataFrame) -> pd.DataFrame:
 
 
 def _freed(df: DataFrame) -> None:
-    """Lets go of shuffle files that nothing refers to any more: they are as large as all n-grams."""
-    gc.collect()
-    df.sparkSession._jvm.System.gc()
+    """Lets go of shuffle files that nothing refers to any more: they are as large as all n-grams. What the first round
+    finds unused still holds others, which the second lets go."""
+    for _ in range(2):
+        gc.collect()
+        df.sparkSession._jvm.System.gc()
+        time.sleep(0.7)
 
 
 def count_tables(runs: DataFrame, order: int, buckets: int, fan: int = FAN) -> DataFrame:
@@ -170,7 +174,7 @@ def count_tables(runs: DataFrame, order: int, buckets: int, fan: int = FAN) -> D
         part = written(part.withColumn("into", F.pmod(F.xxhash64("unit"), F.lit(units))), "units")
         kept.append(part)
         part = part.groupBy("bucket", "into").applyInPandas(_merge(n), _PART_DDL)
-    totals = written(part.repartition(min(n, 4096), "bucket").groupBy("bucket").applyInPandas(_count, _TOTAL_DDL), "totals")
+    totals = written(part.repartition(min(4 * n, 8192), "bucket").groupBy("bucket").applyInPandas(_count, _TOTAL_DDL), "totals")
     for part in reversed(kept):
         below = totals.select(F.expr(f"bucket div {each}").alias("bucket"), F.col("unit").alias("into"), F.col("bucket").alias("below"), "totals")
         totals = written(part.groupBy("bucket", "into").cogroup(below.groupBy("bucket", "into")).applyInPandas(_back, _TOTAL_DDL), "totals")
