@@ -20,15 +20,23 @@ from inkstrata.llm.vector import SPACES, ngram_hashes, slices, word_hashes, word
 
 ORDER = 3
 BACKOFF = 0.4
-RUN_BYTES = 6_000_000  # of text whose n-grams travel together
+RUN_BYTES = 5_000_000  # of text whose n-grams travel together
+HASHED = 1_000_000  # of it that is hashed at once, or one whole longer text
 BUCKET_BYTES = 12_000_000  # of text for each partition of the count tables
 FAN = 256  # partitions that a run's n-grams are split over at once
 
 
 def _grams(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
     """For each n up to order: places of the last words of the n-grams and their keys; and the first word of each text."""
-    starts, ends, first = word_spans(data, offsets, SPACES)
-    words = word_hashes(data, starts, ends)
+    words, first, i = [], [np.zeros(1, np.int64)], 0
+    while i < len(offsets) - 1:  # some texts at a time: hashing takes 30 bytes a byte
+        j = min(len(offsets) - 1, max(i + 1, int(np.searchsorted(offsets, offsets[i] + HASHED, "right")) - 1))
+        part = data[offsets[i] : offsets[j]]
+        starts, ends, own = word_spans(part, offsets[i : j + 1] - offsets[i], SPACES)
+        words.append(word_hashes(part, starts, ends))
+        first.append(own[1:] + first[-1][-1])
+        i = j
+    words, first = np.concatenate([np.zeros(0, np.uint64), *words]), np.concatenate(first)
     at_text = np.arange(len(words)) - np.repeat(first[:-1], np.diff(first))
     out = []
     for n in range(1, order + 1):
