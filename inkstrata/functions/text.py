@@ -82,7 +82,51 @@ def repaired_encoding(text: Column) -> Column:
 
 def closed_ligature_brackets(text: Column) -> Column:
     """`f[i` in a word whose bracket stays open becomes `fi`."""
-    return F.regexp_replace(text, r"(\w)\[([a-z]+)(?=[\s.,;]|$)", "$1$2")
+    return F.regexp_replace(text, r"([A-Za-z])\[([a-z]{1,8})(?=[\s,;:.!?\-/]|$)", "$1$2")
+
+
+def without_anchors(text: Column) -> Column:
+    """No empty spans with an id, and `- 0[` of reference lists as `- [`."""
+    return F.regexp_replace(F.regexp_replace(text, r'<span\s+id="[^"]*"\s*>\s*</span>\s*', ""), r"(?m)^- 0\[", "- [")
+
+
+def without_stray_cjk(text: Column) -> Column:
+    """No ideograph alone, then none of two to four, between Latin letters or blanks; and no misread logo word."""
+    for n in ("", "{2,4}"):
+        text = F.regexp_replace(text, rf"(?<=[a-zA-Z\s])[\x{{4e00}}-\x{{9fff}}]{n}(?=[a-zA-Z\s])", "")
+    return F.regexp_replace(text, "(?i)E[rz]a[fm]y", "")
+
+
+GARBLED = "[OCR garbled — refer to source document]\n"  # fixed value: the warning before a garbled paragraph
+
+
+def warned_paragraphs(text: Column) -> Column:
+    """A warning before each paragraph of five words or more of which over 30 % look garbled: digits within letters, or over eight characters and no vowel."""
+    garbled = lambda w: w.rlike(r"[a-zA-Z]{2,}\d+[a-zA-Z]") | ((F.length(w) > 8) & ~w.rlike("[aeiouAEIOU]"))
+
+    def one(p: Column) -> Column:
+        n = F.size(words(p))
+        return F.when((n >= 5) & (F.size(F.filter(words(p), garbled)) > 0.3 * n), F.concat(F.lit(GARBLED), p)).otherwise(p)
+
+    return F.array_join(F.transform(F.split(text, "\n\n"), one), "\n\n")
+
+
+# LaTeX accents and what they stand for
+ACCENTS = {"\\'e": "é", "\\'a": "á", "\\'i": "í", "\\'o": "ó", "\\'u": "ú", "\\'E": "É", "\\`e": "è", "\\`a": "à", '\\"o': "ö", '\\"u': "ü", '\\"a': "ä", "\\~n": "ñ"}
+
+
+def accented(text: Column) -> Column:
+    """LaTeX accents as letters, and `'ee` and `'e` at a word's end as é."""
+    for tex, letter in ACCENTS.items():
+        text = F.replace(text, F.lit(tex), F.lit(letter))
+    return F.regexp_replace(F.regexp_replace(text, r"(?U)(\w)'ee\b", "$1ée"), r"(?U)(\w)'e\b", "$1é")
+
+
+def post_processed(md: Column) -> Column:
+    """All repairs of extracted Markdown, in their order."""
+    x = warned_paragraphs(without_stray_cjk(plain_headings(md)))
+    x = F.regexp_replace(F.regexp_replace(x, r"\bAC\s?(\d)", "€$1"), r"(?m)^(\d{1,3}): ([A-Z])", "Table $1: $2")
+    return F.regexp_replace(F.regexp_replace(accented(x), r"\\([~*])", "$1"), "(?<=[0-9])。(?=\\s*[0-9])", ".")
 
 
 def plain_headings(text: Column) -> Column:
@@ -103,6 +147,7 @@ def case_split(token: Column) -> Column:
 
 
 def words(text: Column) -> Column:
+    """Runs of characters other than white space."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda w: w != "")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from inkstrata.plans import documents  # noqa: F401  registers its queries
+from inkstrata.plans import documents, repairs  # noqa: F401  register their queries
 from inkstrata.plans.catalog import ORACLE_SQL, QUERIES
 
 FLAGSHIP = "sections_from_pages"
