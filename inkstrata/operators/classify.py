@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,15 +91,26 @@ def first_most(scores: list[tuple[str, Column]], default: str) -> Column:
     return out
 
 
+def _lowered(text: Column, value: Callable[[Column], Column]) -> Column:
+    """value of the lower-cased text, which is made once however often value uses it."""
+    return F.get(F.transform(F.array(F.lower(text)), value), F.lit(0))
+
+
+def _found(low: Column, keywords: list[str]) -> Column:
+    """The keywords that low contains."""
+    return F.filter(F.array(*[F.lit(k.lower()) for k in keywords]), lambda k: F.contains(low, k))
+
+
 def domain(text: Column, table: dict[str, list[str]] = DOMAINS, overrides: dict[str, list[str]] = OVERRIDES) -> Column:
-    """Overriding keywords first, else the domain with most distinct keywords in the text (substrings, any case), else general."""
-    low = F.lower(text)
-    out = None
-    for name, words in overrides.items():
-        hit = _hits(low, words) > 0
-        out = F.when(hit, name) if out is None else out.when(hit, name)
-    best = first_most([(n, _hits(low, w)) for n, w in table.items()], "general")
-    return out.otherwise(best) if out is not None else best
+    """Overriding keywords first, else the domain with most distinct keywords in the text (substrings, any case; the first on ties), else general; null for null."""
+
+    def named(low: Column) -> Column:
+        first = [F.when(F.size(_found(low, k)) > 0, name) for name, k in overrides.items()]
+        scores = F.array(*[F.size(_found(low, k)) for k in table.values()])
+        most = F.transform(F.array(scores), lambda s: F.when(F.array_max(s) > 0, F.element_at(F.array(*map(F.lit, table)), F.array_position(s, F.array_max(s)).cast("int"))))
+        return F.coalesce(*first, F.get(most, F.lit(0)), F.lit("general"))
+
+    return F.when(text.isNotNull(), _lowered(text, named))
 
 
 def occurrences(text: Column, word: str) -> Column:
@@ -193,17 +206,16 @@ def has_vector_content(drawings: Column, area_pct: Column) -> Column:
 
 def personas(kind: Column, context: Column) -> Column:
     """The personas, sorted, that an image type and its context activate."""
-    low, out = F.lower(context), None
-    for name, (always, conditional) in PERSONAS.items():
-        parts = [F.array(*[F.lit(a) for a in always])] if always else [F.array().cast("array<string>")]
-        for who, keywords in conditional.items():
-            hit = F.lit(False)
-            for k in keywords:
-                hit = hit | low.contains(k.lower())
-            parts.append(F.when(hit, F.array(F.lit(who))).otherwise(F.array().cast("array<string>")))
-        value = F.array_sort(F.array_distinct(F.concat(*parts)))
-        out = F.when(kind == name, value) if out is None else out.when(kind == name, value)
-    return out.otherwise(F.array().cast("array<string>"))
+    none = F.array().cast("array<string>")
+
+    def active(low: Column) -> Column:
+        out = F.when(F.lit(False), none)
+        for name, (always, conditional) in PERSONAS.items():
+            asked = [F.when(F.size(_found(low, words)) > 0, F.lit(who)) for who, words in conditional.items()]
+            out = out.when(kind == name, F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.lit(a) for a in always], *asked)))))
+        return out.otherwise(none)
+
+    return _lowered(F.coalesce(context, F.lit("")), active)
 
 
 def column_widths(cells: DataFrame, total_cm: float = 16.0, least: float = 1.5) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from inkstrata.functions import text as X
 from inkstrata.operators import assemble as A
 from inkstrata.operators import classify as C
+from inkstrata.operators import noise as N
 from inkstrata.operators import quality as Q
 from inkstrata.operators import structure as S
 from inkstrata.operators import validate as V
@@ -477,13 +478,13 @@ def new_renders_anti(spark, sf_dir):
     return A.append_renders(HAVE.spark(spark), RENDERS.spark(spark))
 
 
-_BOXES = "select vec_id id, label page, least(embedding[1], embedding[3]) x0, least(embedding[2], embedding[4]) y0, greatest(embedding[1], embedding[3]) x1, greatest(embedding[2], embedding[4]) y1 from embeddings where vec_id < 400"
+_BOXES = "select vec_id id, label page, least(embedding[1], embedding[3]) x0, least(embedding[2], embedding[4]) y0, greatest(embedding[1], embedding[3]) x1, greatest(embedding[2], embedding[4]) y1 from embeddings"
 
 
 @query(f"with b as (select id, page, x0::double x0, y0::double y0, x1::double x1, y1::double y1 from ({_BOXES})), p as (select a.page, a.id a_id, b.id b_id, greatest(0, least(a.x1, b.x1) - greatest(a.x0, b.x0)) * greatest(0, least(a.y1, b.y1) - greatest(a.y0, b.y0)) i, (a.x1 - a.x0) * (a.y1 - a.y0) + (b.x1 - b.x0) * (b.y1 - b.y0) u from b a join b on a.page = b.page where a.id % 2 = 0 and b.id % 2 = 1), q as (select *, i / (u - i) iou, row_number() over (partition by page, a_id order by i / (u - i) desc, b_id) k from p where i / (u - i) >= 0.05) select 0 doc_id, page, a_id, b_id, round(iou, 6) iou from q where k = 1", "doc_id bigint, page bigint, a_id bigint, b_id bigint, iou double")
 def iou_best_candidate(spark, sf_dir):
     e = [F.get("embedding", F.lit(i)).cast("double") for i in range(4)]
-    b = T.load(spark, sf_dir, "embeddings").filter("vec_id < 400").select(F.lit(0).alias("doc_id"), F.col("label").alias("page"), F.col("vec_id").alias("id"), F.least(e[0], e[2]).alias("x0"), F.least(e[1], e[3]).alias("y0"), F.greatest(e[0], e[2]).alias("x1"), F.greatest(e[1], e[3]).alias("y1"))
+    b = T.load(spark, sf_dir, "embeddings").select(F.lit(0).alias("doc_id"), F.col("label").alias("page"), F.col("vec_id").alias("id"), F.least(e[0], e[2]).alias("x0"), F.least(e[1], e[3]).alias("y0"), F.greatest(e[0], e[2]).alias("x1"), F.greatest(e[1], e[3]).alias("y1"))
     return A.best_overlap(b.filter("id % 2 = 0"), b.filter("id % 2 = 1"))
 
 
@@ -581,10 +582,7 @@ def caption_type(spark, sf_dir):
 @query("with c as (select doc_id, line_no, unnest(string_split(line, '')) ch, line from (select doc_id, unnest(range(1, len(string_split(text, chr(10))) + 1)) line_no, unnest(string_split(text, chr(10))) line from documents) where length(line) >= 20), g as (select doc_id, line_no, any_value(length(line)) len, ch, count(*) n from c group by doc_id, line_no, ch) select doc_id, line_no, round(-sum(n / cast(len as double) * log2(n / cast(len as double))), 6) entropy from g group by doc_id, line_no having -sum(n / cast(len as double) * log2(n / cast(len as double))) > 4.3", "doc_id bigint, line_no bigint, entropy double")
 def line_entropy_filter(spark, sf_dir):
     d = T.lines(T.load(spark, sf_dir, "documents"), "text").filter(F.length("line") >= 20)
-    c = d.select("doc_id", "line_no", F.length("line").alias("len"), F.explode(F.split("line", "")).alias("ch"))
-    p = F.col("n") / F.col("len")
-    g = c.groupBy("doc_id", "line_no", "len", "ch").agg(F.count(F.lit(1)).alias("n")).groupBy("doc_id", "line_no").agg((-F.sum(p * F.log2(p))).alias("entropy"))
-    return g.filter("entropy > 4.3").withColumn("entropy", F.round("entropy", 6))
+    return d.select("doc_id", "line_no", N.entropy(F.col("line")).alias("entropy")).filter("entropy > 4.3").withColumn("entropy", F.round("entropy", 6))
 
 
 PATHS = Fixture("path string", (("a/B.PDF",), ("c.docx",), ("d.tar.gz",), ("noext",), ("s.xlsm",), ("t.txt",)))

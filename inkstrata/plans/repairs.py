@@ -108,7 +108,7 @@ SPLIT = Fixture(
         (1, "dif fi culties in the of fi ce"),
         (2, "if fi had; we fi go"),
         (3, "Kof fi jberg and xo fi zzz"),
-        (4, "the staf fi\nend of fi"),
+        (4, "the staf fi\nend of fi, a staf fi"),
         (5, "fi ndings fl ow fi zzz"),
         (6, "  dif-  fi- cul ties di f fe rent\nfi rst coef fi cient"),
         (7, "no change  here\tat all"),
@@ -123,7 +123,7 @@ SPLIT = Fixture(
         (1, "difficulties in the office"),
         (2, "if fi had; we fi go"),
         (3, "Koffijberg and xo fi zzz"),
-        (4, "the staffi\nend of fi"),
+        (4, "the staf fi\nend of fi, a staffi"),
         (5, "findings flow fi zzz"),
         (6, "  difficulties different\nfirst coefficient"),
         (7, "no change  here\tat all"),
