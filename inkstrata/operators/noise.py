@@ -19,10 +19,9 @@ FIGURE_ENTROPY, FIGURE_REAL = 4.0, 0.4  # the same after an image, up to the nex
 
 def entropy(line: Column) -> Column:
     """Bits a character of the line, within the row."""
-    chars = F.split(line, "")
-    n = F.length(line).cast("double")
-    one = lambda total, c: total - F.size(F.filter(chars, lambda x: x == c)) / n * F.log2(F.size(F.filter(chars, lambda x: x == c)) / n)
-    return F.aggregate(F.array_distinct(chars), F.lit(0.0), one)
+    n = F.length(line)
+    shares = F.transform(F.array_distinct(F.split(line, "")), lambda c: (n - F.length(F.replace(line, c, F.lit("")))) / n)
+    return F.aggregate(shares, F.lit(0.0), lambda total, p: total - p * F.log2(p))
 
 
 def real_words(line: Column) -> Column:
