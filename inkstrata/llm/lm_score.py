@@ -20,9 +20,9 @@ from inkstrata.llm.vector import SPACES, ngram_hashes, slices, word_hashes, word
 
 ORDER = 3
 BACKOFF = 0.4
-RUN_BYTES = 5_000_000  # of text whose n-grams travel together
+RUN_BYTES = 6_000_000  # of text whose n-grams travel together
 HASHED = 1_000_000  # of it that is hashed at once, or one whole longer text
-BUCKET_BYTES = 12_000_000  # of text for each partition of the count tables
+BUCKET_BYTES = 8_000_000  # of text for each partition of the count tables
 FAN = 256  # partitions that a run's n-grams are split over at once
 
 
@@ -59,7 +59,7 @@ def _unpacked(blob: bytes) -> np.ndarray:
 
 
 def _ints(x: np.ndarray) -> bytes:
-    return zstandard.compress(x.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+    return zstandard.compress(x.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), 6)
 
 
 def _from_ints(blob: bytes) -> np.ndarray:
