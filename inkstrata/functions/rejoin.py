@@ -20,6 +20,9 @@ SEQUENCES = ["fi", "fl", "ff", "ffi", "ffl", "ft", "st"]
 # Short words that stand alone
 STANDALONE = ["if", "of", "off", "a", "an", "the", "in", "on", "or", "is", "it", "as", "at", "be", "by", "do", "go", "he", "me", "my", "no", "so", "to", "up", "us", "we", "af"]
 
+# A fragment between two words, after a word and before none, and before a word
+PATTERNS = {"middle": r"(\b\w+)\s+(%s)\s+(\w+\b)", "trailing": r"(\b\w+)\s+(%s)\b(?!\s+\w)", "leading": r"(?:^|(?<=\s))(%s)\s+(\w{2,}\b)"}
+
 
 def _join_one(word: str, valid: Callable[[str], bool], text: str, fragment: str) -> str:
     """Joins `left fragment right`, then `left fragment` before no word, by the rule that word names."""
@@ -37,12 +40,8 @@ def _join_one(word: str, valid: Callable[[str], bool], text: str, fragment: str)
     def leading(m: re.Match) -> str:
         return m[1] + m[2] if valid(m[1] + m[2]) else m[0]
 
-    pattern, rule = {
-        "middle": (rf"(\b\w+)\s+({fragment})\s+(\w+\b)", middle),
-        "trailing": (rf"(\b\w+)\s+({fragment})\b(?!\s+\w)", trailing),
-        "leading": (rf"(?:^|(?<=\s))({fragment})\s+(\w{{2,}}\b)", leading),
-    }[word]
-    return re.sub(pattern, rule, text)
+    rules = {"middle": middle, "trailing": trailing, "leading": leading}
+    return re.sub(PATTERNS[word] % fragment, rules[word], text)
 
 
 def _windows(line: str, valid: Callable[[str], bool]) -> str:

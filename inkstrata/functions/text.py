@@ -18,6 +18,24 @@ LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl",
 # Caption words and the image type that each implies, first match wins
 CAPTION_TYPES = {"forest plot": "forest-plot", "kaplan": "kaplan-meier", "survival": "kaplan-meier", "tornado": "tornado-diagram", "decision tree": "decision-tree", "flow chart": "flow-chart", "flowchart": "flow-chart", "scatter": "scatter", "cost-effectiveness plane": "scatter", "box plot": "box-plot", "histogram": "histogram", "heatmap": "heatmap", "bar chart": "bar-chart", "line chart": "line-chart", "pie chart": "pie-chart", "funnel": "funnel-plot", "network": "network-diagram", "table": "table-image", "figure": "other", "fig.": "other"}
 
+# Patterns of extraction faults and what replaces them, in order: number-only headings and page numbers; exponents, bullets, quoted comparisons
+ORPHANS = [(r"(?m)^## \d+ \d+[ \t]*$", ""), (r"(?m)^[ \t]*\d{1,3}[ \t]*$", "")]
+EXPONENTS = [(r"R\s*\[2\]", "R^2"), (r"(?m)^[ \t]*`o`[ \t]+", "- "), (r"(?m)^>(\d)", r"\\>$1")]
+# A misread euro sign, captions without their word, needless escapes, an ideographic stop between digits
+EUROS = [(r"\bAC\s?(\d)", "€$1"), (r"(?m)^(\d{1,3}): ([A-Z])", "Table $1: $2")]
+ESCAPES = [(r"\\([~*])", "$1")]
+# Empty spans with an id, `- 0[` in reference lists, an open bracket in a word
+ANCHORS = [(r'<span\s+id="[^"]*"\s*>\s*</span>\s*', ""), (r"(?m)^- 0\[", "- [")]
+BRACKETS = [(r"([A-Za-z])\[([a-z]{1,8})(?=[\s,;:.!?\-/]|$)", "$1$2")]
+# Ideographs alone, then two to four, in Latin text, and a misread logo
+STRAYS = [(r"(?<=[a-zA-Z\s])[\x{4e00}-\x{9fff}](?=[a-zA-Z\s])", ""), (r"(?<=[a-zA-Z\s])[\x{4e00}-\x{9fff}]{2,4}(?=[a-zA-Z\s])", ""), ("(?i)E[rz]a[fm]y", "")]
+
+
+def _replaced(text: Column, rules: list[tuple[str, str]]) -> Column:
+    for pattern, put in rules:
+        text = F.regexp_replace(text, pattern, put)
+    return text
+
 
 def clean_whitespace(text: Column) -> Column:
     """Line ends trimmed of blanks, three or more line ends as two, no blanks at either end."""
@@ -31,13 +49,10 @@ def sanitized_comment(text: Column) -> Column:
 
 def repaired_extraction(text: Column) -> Column:
     """Orphan page numbers and number-only headings dropped, capital section words as headings, bullets, exponents, quoted comparisons and compounds repaired."""
-    x = F.regexp_replace(text, r"(?m)^## \d+ \d+[ \t]*$", "")
-    x = F.regexp_replace(x, r"(?m)^[ \t]*\d{1,3}[ \t]*$", "")
+    x = _replaced(text, ORPHANS)
     for h in CAPITAL_HEADINGS:
         x = F.regexp_replace(x, rf"(?m)^{h}[ \t]*$", f"## {h.title()}")
-    x = F.regexp_replace(x, r"R\s*\[2\]", "R^2")
-    x = F.regexp_replace(x, r"(?m)^[ \t]*`o`[ \t]+", "- ")
-    x = F.regexp_replace(x, r"(?m)^>(\d)", r"\\>$1")
+    x = _replaced(x, EXPONENTS)
     for c in COMPOUNDS:
         merged = c.replace("-", "")
         x = F.replace(F.replace(x, F.lit(merged), F.lit(c)), F.lit(merged.title()), F.lit(c.title()))
@@ -82,19 +97,17 @@ def repaired_encoding(text: Column) -> Column:
 
 def closed_ligature_brackets(text: Column) -> Column:
     """`f[i` in a word whose bracket stays open becomes `fi`."""
-    return F.regexp_replace(text, r"([A-Za-z])\[([a-z]{1,8})(?=[\s,;:.!?\-/]|$)", "$1$2")
+    return _replaced(text, BRACKETS)
 
 
 def without_anchors(text: Column) -> Column:
     """No empty spans with an id, and `- 0[` of reference lists as `- [`."""
-    return F.regexp_replace(F.regexp_replace(text, r'<span\s+id="[^"]*"\s*>\s*</span>\s*', ""), r"(?m)^- 0\[", "- [")
+    return _replaced(text, ANCHORS)
 
 
 def without_stray_cjk(text: Column) -> Column:
     """No ideograph alone, then none of two to four, between Latin letters or blanks; and no misread logo word."""
-    for n in ("", "{2,4}"):
-        text = F.regexp_replace(text, rf"(?<=[a-zA-Z\s])[\x{{4e00}}-\x{{9fff}}]{n}(?=[a-zA-Z\s])", "")
-    return F.regexp_replace(text, "(?i)E[rz]a[fm]y", "")
+    return _replaced(text, STRAYS)
 
 
 GARBLED = "[OCR garbled — refer to source document]\n"  # fixed value: the warning before a garbled paragraph
@@ -125,8 +138,8 @@ def accented(text: Column) -> Column:
 def post_processed(md: Column) -> Column:
     """All repairs of extracted Markdown, in their order."""
     x = warned_paragraphs(without_stray_cjk(plain_headings(md)))
-    x = F.regexp_replace(F.regexp_replace(x, r"\bAC\s?(\d)", "€$1"), r"(?m)^(\d{1,3}): ([A-Z])", "Table $1: $2")
-    return F.regexp_replace(F.regexp_replace(accented(x), r"\\([~*])", "$1"), "(?<=[0-9])。(?=\\s*[0-9])", ".")
+    x = _replaced(accented(_replaced(x, EUROS)), ESCAPES)
+    return F.regexp_replace(x, r"(?<=[0-9])。(?=\s*[0-9])", ".")
 
 
 def plain_headings(text: Column) -> Column:
@@ -136,10 +149,7 @@ def plain_headings(text: Column) -> Column:
 
 def repaired_markdown(text: Column) -> Column:
     """`AC 9` as euro, `NN: X` as a table caption, needless escapes and an ideographic stop between digits."""
-    x = F.regexp_replace(text, r"\bAC ?(\d)", "€$1")
-    x = F.regexp_replace(x, r"(?m)^(\d{1,3}): ([A-Z])", "Table $1: $2")
-    x = F.regexp_replace(x, r"\\([~*])", "$1")
-    return F.regexp_replace(x, "([0-9])。([0-9])", "$1.$2")
+    return F.regexp_replace(_replaced(text, EUROS + ESCAPES), "([0-9])。([0-9])", "$1.$2")
 
 
 def case_split(token: Column) -> Column:
