@@ -24,14 +24,14 @@ STANDALONE = ["if", "of", "off", "a", "an", "the", "in", "on", "or", "is", "it",
 PATTERNS = {"middle": r"(\b\w+)\s+(%s)\s+(\w+\b)", "trailing": r"(\b\w+)\s+(%s)\b(?!\s+\w)", "leading": r"(?:^|(?<=\s))(%s)\s+(\w{2,}\b)"}
 
 
-def _join_one(word: str, valid: Callable[[str], bool], text: str, fragment: str) -> str:
+def _join_one(word: str, valid: Callable[[str], bool], text: str, fragment: str, older: bool) -> str:
     """Joins `left fragment right`, then `left fragment` before no word, by the rule that word names."""
     apart = lambda x: x.lower() in STANDALONE
 
     def middle(m: re.Match) -> str:
         left, own, right = m.groups()
         whole = left + own + right
-        named = whole[0].isupper() and not apart(left) and not (apart(right) and len(right) <= 2)
+        named = (older or whole[0].isupper()) and not apart(left) and not (apart(right) and len(right) <= 2)
         return whole if valid(whole) or named else m[0]
 
     def trailing(m: re.Match) -> str:
@@ -62,23 +62,25 @@ def _windows(line: str, valid: Callable[[str], bool]) -> str:
     return line[: len(line) - len(line.lstrip())] + " ".join(tokens) + ("\n" if line.endswith("\n") else "")
 
 
-def rejoined_text(text: str, words: frozenset[str]) -> str:
-    valid = lambda w: w.lower() in words
+def rejoined_text(text: str, valid: Callable[[str], bool], older: bool = False) -> str:
+    """older: a fragment between two words joins them unless one stands alone, whatever they make, and windows of tokens aren't tried."""
     for rule in ("middle", "trailing", "leading"):
         for fragment in FRAGMENTS:
-            text = _join_one(rule, valid, text, fragment)
+            text = _join_one(rule, valid, text, fragment, older)
+    if older:
+        return text
     lines = text.splitlines(True)
     return "".join(_windows(x, valid) if len(x.split()) > 1 else x for x in lines)
 
 
-def rejoined(text: Column, words: list[str]) -> Column:
+def rejoined(text: Column, words: list[str], older: bool = False) -> Column:
     """text with words joined that were split around a ligature. words is the dictionary, lower case; it travels with each task, so it should be
     some megabytes at most. A join that makes no word of it is made only for names in capitals. Null stays null."""
     held = frozenset(words)
 
     @F.pandas_udf(StringType())
     def run(x: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None else rejoined_text(t, held) for t in x], dtype=object)
+        return pd.Series([None if t is None else rejoined_text(t, lambda w: w.lower() in held, older) for t in x], dtype=object)
 
     return run(text)
 

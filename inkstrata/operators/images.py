@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from inkstrata.operators.quality import judged_tables
+from inkstrata.sources.tables import lines
+
 #: Bytes, width, height, mean and deviation of grey, distinct colours (null: not RGB), mean alpha (null: opaque).
 PIXELS = ["size_bytes", "width", "height", "mean", "std", "colors", "alpha"]
 WARNING = "WARNING: Table may have collapsed columns"
@@ -141,3 +144,11 @@ def annotated_tables(lines: DataFrame, flagged: DataFrame, reach: int = 5) -> Da
     new = t.join(seen, ["doc_id", "start", "end"], "left_anti").select("doc_id", F.col("end").alias("line_no"), F.lit(1).alias("late"), note.alias("line"))
     both = lines.select("doc_id", "line_no", F.lit(0).alias("late"), "line").unionByName(new)
     return both.select("doc_id", F.row_number().over(Window.partitionBy("doc_id").orderBy("line_no", "late")).alias("line_no"), "line")
+
+
+def annotated_documents(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, md), a row each: md with a warning after each table whose columns seem merged; a second run changes nothing."""
+    rows = lines(docs)
+    done = annotated_tables(rows, judged_tables(rows).filter("reason is not null"))
+    done = done.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("l"))
+    return done.select("doc_id", F.array_join("l.line", "\n").alias("md"))

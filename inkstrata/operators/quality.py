@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 # Header keys that a converted document must have
 HEADER_KEYS = ["source_file", "conversion_date", "conversion_tool", "fidelity_standard", "document_type"]
@@ -89,3 +89,120 @@ def new_issues(found: DataFrame, recorded: DataFrame, prefix: int = 50) -> DataF
     """Of found (message) what no recorded message begins with, by its first characters."""
     key = F.left("message", F.lit(prefix))
     return found.join(recorded.select(key.alias("k")).distinct(), key == F.col("k"), "left_anti")
+
+
+# ---- whole tables from lines -----------------------------------------------------------------------
+
+# Cells of separator rows; what counts as one number: sizes, dates, ranges, then numbers; file names; words of an index's header row
+SEPARATOR_CELL, SEPARATOR_ROW = r"^[\s:]*-[\s\-:]*$", r"^\|[\s\-:]+\|$"
+ONE_NUMBER = [r"\d+\s*[xX]\s*\d+", r"\d{4}[-/]\d{1,2}[-/]\d{1,2}", r"-?\d+(?:[,.]\d+)*%?[-–]-?\d+(?:[,.]\d+)*%?"]
+NUMBER = r"-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?%?"
+IMAGE_FILE = r"(?i)\.(png|jpg|jpeg|gif|tiff|svg|bmp|webp)"
+INDEX_WORDS = ["page", "file", "classification", "dimensions", "figure_num", "filename", "image_path", "fig_", "page_num", "img_"]
+GRID_BORDER = r"^\+[-=+]+\+$"
+
+def _in_order() -> WindowSpec:
+    return Window.partitionBy("doc_id").orderBy("line_no")
+
+
+def _stripped(c: str) -> Column:
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
+
+
+def _cells(row: Column) -> Column:
+    parts = F.split(row, r"\|", -1)
+    return F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 2, F.lit(0)))
+
+
+def n_numbers(cell: Column) -> Column:
+    """Numbers in a cell; a size, a date or a range is one."""
+    x = F.regexp_replace(cell, r"\*{1,2}", "")
+    for pattern in ONE_NUMBER:
+        x = F.regexp_replace(x, pattern, "\x01")
+    return F.regexp_count(x, F.lit(rf"\x01|{NUMBER}"))
+
+
+def _pipe_rows(lines: DataFrame) -> DataFrame:
+    """Rows of pipe tables: doc_id, line_no, row, table_no and the nearest heading before."""
+    x = lines.select("doc_id", "line_no", _stripped("line").alias("row")).withColumn("pipe", F.col("row").rlike(r"(?s)^\|(.*\|)?$"))
+    x = x.filter(F.col("pipe") | F.col("row").startswith("#"))
+    goes_on = F.coalesce(F.lag("pipe").over(_in_order()) & (F.lag("line_no").over(_in_order()) == F.col("line_no") - 1), F.lit(False))
+    x = x.withColumn("new", (F.col("pipe") & ~goes_on).cast("long"))
+    x = x.withColumn("table_no", F.sum("new").over(_in_order())).withColumn("heading", F.last(F.when(~F.col("pipe"), F.col("row")), ignorenulls=True).over(_in_order()))
+    return x.filter("pipe").select("doc_id", "line_no", "row", "table_no", "heading")
+
+
+def judged_tables(lines: DataFrame) -> DataFrame:
+    """lines (doc_id, line_no, line) of Markdown: a row for each pipe table: doc_id, table_no, start, end, n_rows (without separators), n_cols (the most frequent,
+    the first on ties), n_values (the most numbers of a body row), is_index (a listing of images) and reason, why its columns seem merged: `sparse` (four rows at most, no number, under
+    60 % of cells with more than three characters, or one column), `single_column` (three body rows or more), `crowded_cells` (more than half the body rows have
+    a cell of three numbers or more); null if they don't, for listings and without body rows."""
+    r = _pipe_rows(lines).withColumn("cells", _cells(F.col("row")))
+    r = r.withColumn("data", ~((F.size("cells") > 0) & F.forall("cells", lambda c: c.rlike(SEPARATOR_CELL))))
+    r = r.withColumn("head_no", F.min(F.when(F.col("data"), F.col("line_no"))).over(Window.partitionBy("doc_id", "table_no")))
+    r = r.withColumn("body", F.col("data") & (F.col("line_no") > F.col("head_no"))).withColumn("numbers", F.transform("cells", n_numbers))
+    total = F.aggregate("numbers", F.lit(0), lambda a, n: a + n)
+    long = F.size(F.filter("cells", lambda c: F.length(F.trim(F.regexp_replace(c, r"\*{1,2}", ""))) > 3))
+    crowded = F.size(F.filter("numbers", lambda n: n > 2))
+    r = r.withColumn("total", F.when(F.col("body"), total)).withColumn("long", F.when(F.col("body"), long)).withColumn("crowded", F.when(F.col("body"), crowded))
+    t = r.groupBy("doc_id", "table_no").agg(
+        F.min("line_no").alias("start"),
+        F.max("line_no").alias("end"),
+        F.count_if("data").alias("n_rows"),
+        F.count_if("body").alias("n_body"),
+        F.array_sort(F.collect_list(F.when(F.col("data"), F.struct("line_no", F.greatest(F.size("cells"), F.lit(1)).alias("n"))))).alias("widths"),
+        F.coalesce(F.max("total"), F.lit(0)).alias("n_values"),
+        F.sum("total").alias("sum_values"),
+        F.count_if(F.col("body") & (F.regexp_replace("row", r"[| *]", "") != "")).alias("told"),
+        (F.sum("long") / F.sum(F.when(F.col("body"), F.size("cells")))).alias("filled"),
+        F.count_if(F.col("crowded") > 0).alias("n_crowded"),
+        F.max("crowded").alias("worst"),
+        (F.count_if(F.col("row").rlike(IMAGE_FILE)) / F.count(F.lit(1))).alias("files"),
+        F.first("heading").alias("heading"),
+        F.min_by(F.when(F.col("data"), F.lower("row")), F.when(F.col("data"), F.col("line_no"))).alias("header"),
+    )
+    widths = F.col("widths.n")
+    often = F.array_max(F.transform(F.array_distinct(widths), lambda w, i: F.struct(F.size(F.filter(widths, lambda x: x == w)).alias("k"), (-i).alias("i"), w.alias("w"))))
+    t = t.withColumn("n_cols", F.coalesce(often["w"], F.lit(1)))
+    hits = sum((F.contains("header", F.lit(w)).cast("int") for w in INDEX_WORDS), F.lit(0))
+    index = F.coalesce(F.lower("heading").contains("image index"), F.lit(False)) | (F.col("files") > 0.5) | F.coalesce(hits >= 2, F.lit(False))
+    sparse = (F.col("sum_values") == 0) & (F.col("n_rows") <= 4) & (F.col("told") > 0) & ~((F.col("n_cols") >= 2) & (F.coalesce(F.col("filled"), F.lit(0.0)) >= 0.6))
+    why = F.when(sparse, "sparse").when(F.col("n_cols") <= 1, F.when(F.col("told") >= 3, "single_column")).when(F.col("n_crowded") > 0.5 * F.col("n_body"), "crowded_cells")
+    t = t.withColumn("is_index", index).withColumn("reason", F.when(~F.col("is_index") & (F.col("n_rows") >= 2), why))
+    return t.select("doc_id", "table_no", "start", "end", "n_rows", "n_cols", "n_values", "is_index", "reason", "told", "n_body", "n_crowded", "worst")
+
+
+def collapse_issues(tables: DataFrame) -> DataFrame:
+    """Warnings for the tables of judged_tables() with a reason."""
+    told = (
+        F.when(F.col("reason") == "sparse", F.format_string("Table has %d row(s) with zero numeric values across all data cells — expected data appears missing.", "n_rows"))
+        .when(F.col("reason") == "single_column", F.format_string("Single-column table with %d data row(s) detected. Multi-column tables frequently collapse to 1 column during DOCX-to-markdown conversion.", "told"))
+        .otherwise(F.format_string("Detected cells with multiple numeric values (%d multi-value cell(s) in worst row) across %d column(s). %d/%d data rows affected.", "worst", "n_cols", "n_crowded", "n_body"))
+    )
+    text = F.concat(F.format_string("Table %d may have collapsed columns. ", "table_no"), told, F.lit(" Manual verification recommended."))
+    return tables.filter("reason is not null").select(*_issue("collapsed_columns", "WARN", text))
+
+
+def _listing(n: Column) -> Column:
+    return F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_set(n)), ", "), F.lit("]"))
+
+
+def table_structure_issues(lines: DataFrame) -> DataFrame:
+    """lines (doc_id, line_no, line): pipe tables whose rows, and grid tables whose borders, differ in columns fail; and what tables there are. A grid
+    table begins with a border, goes on with borders and rows, and has two borders or more."""
+    pipe = _pipe_rows(lines).withColumn("n", F.when(~F.col("row").rlike(SEPARATOR_ROW), F.size(F.split("row", r"\|", -1)) - 2))
+    pipe = pipe.groupBy("doc_id", "table_no").agg(_listing(F.col("n")).alias("widths"), F.count_distinct("n").alias("kinds"), F.count(F.lit(1)).alias("n_rows")).withColumn("kind", F.lit("Pipe"))
+    g = lines.select("doc_id", "line_no", _stripped("line").alias("row")).withColumn("border", F.col("row").rlike(GRID_BORDER)).filter(F.col("border") | F.col("row").startswith("|"))
+    g = g.withColumn("run", F.col("line_no") - F.row_number().over(_in_order()))
+    in_run = Window.partitionBy("doc_id", "run")
+    g = g.withColumn("first", F.min(F.when(F.col("border"), F.col("line_no"))).over(in_run)).filter("line_no >= first")
+    n = F.when(F.col("border"), F.length("row") - F.length(F.replace("row", F.lit("+"), F.lit(""))) - 1)
+    g = g.withColumn("n", n).groupBy("doc_id", "run").agg(F.min("line_no").alias("start"), _listing(F.col("n")).alias("widths"), F.count_distinct("n").alias("kinds"), F.count(F.lit(1)).alias("n_rows"), F.count_if("border").alias("borders")).filter("borders >= 2")
+    grid = g.withColumn("table_no", F.row_number().over(Window.partitionBy("doc_id").orderBy("start"))).select("doc_id", "table_no", "widths", "kinds", "n_rows", F.lit("Grid").alias("kind"))
+    both = pipe.unionByName(grid)
+    fails = both.filter("kinds > 1").select(*_issue("tables", "FAIL", F.format_string("%s table %d has inconsistent column counts: %s. Rows: %d", "kind", "table_no", "widths", "n_rows")))
+    count = both.groupBy("doc_id").agg(F.count_if(F.col("kind") == "Pipe").alias("p"), F.count_if(F.col("kind") == "Grid").alias("g"))
+    told = F.concat_ws(", ", F.when(F.col("p") > 0, F.format_string("%d pipe", "p")), F.when(F.col("g") > 0, F.format_string("%d grid", "g")))
+    count = lines.select("doc_id").distinct().join(count, "doc_id", "left")
+    text = F.when(F.col("p").isNull(), "No markdown tables found").otherwise(F.concat(F.lit("Found "), (F.col("p") + F.col("g")).cast("string"), F.lit(" table(s) ("), told, F.lit(")")))
+    return fails.unionByName(count.select(*_issue("tables", "INFO", text)))

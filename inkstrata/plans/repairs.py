@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from inkstrata.functions import rejoin as R
+from inkstrata.functions import segment as G
 from inkstrata.functions import text as X
 from inkstrata.operators import classify as C
+from inkstrata.operators import images as I
 from inkstrata.operators import noise as N
+from inkstrata.operators import quality as Q
+from inkstrata.operators import repair
 from inkstrata.operators import reports as P
 from inkstrata.plans.catalog import query
 from inkstrata.plans.fixtures import Fixture
@@ -148,6 +152,90 @@ def words_in_dictionary(spark, sf_dir):
     return w.select("doc_id", "word", R.is_valid(F.col("word"), ["the", "data", "und", "les", "de", "del"]).alias("valid"))
 
 
+COUNTS = {"health": 50, "technology": 30, "value": 40, "in": 500, "the": 1000, "and": 800, "outcomes": 20, "for": 600, "example": 30, "increase": 20, "correspondingly": 5, "results": 20, "state": 20, "million": 20, "analyses": 10, "gained": 10, "both": 20, "pin": 5, "cost": 30, "a": 900, "of": 800, "existing": 5, "difficulties": 3, "model": 10, "patient": 10, "however": 10, "see": 9, "first": 9, "said": 9, "don't": 9, "office": 9, "utility": 5, "x": 2, "by": 70, "li": 3, "k": 3}  # a dictionary for the fixtures
+MERGED = Fixture(
+    _TEXT,
+    (
+        (1, "healthTechnology VOIanalyses ISPORValue QALYgained ICERresults"),
+        (2, "  inthehealth,  InHealthTechnology   (inthehealth). \nkept  as   is"),
+        (3, "outcomes.Forexample FitzmauriceC,Dicker Correspondingly,theincrease"),
+        (4, "M+Pinboth. 3state 3.5million 3rd pre-existing cost-utility HIV/AIDS xqzwv"),
+        (5, ""),
+        (6, None),
+    ),
+)
+
+
+@query(
+    _rows(
+        _TEXT,
+        (1, "health Technology VOI analyses ISPOR Value QALY gained ICER results"),
+        (2, "  in the health, In Health Technology (in the health).\nkept  as   is"),
+        (3, "outcomes. For example FitzmauriceC, Dicker Correspondingly, the increase"),
+        (4, "M+Pin both. 3-state 3.5 million 3rd pre-existing cost-utility HIV/AIDS xqzwv"),
+        (5, ""),
+        (6, None),
+    )
+)
+def run_togethers_split(spark, sf_dir):
+    return MERGED.spark(spark).select("doc_id", G.split_run_togethers(F.col("text"), COUNTS).alias("text"))
+
+
+SPACED = Fixture(
+    _TEXT,
+    ((1, "A B S T RACT\nthe Wei bull\nby Egging ton."), (2, "# A B C D\nin the\nA B C D E"), (3, "De Vries — the  patient, however"), (4, "  mod el  of\nTech nology and a  model"), (5, "pati ent, heal th"), (6, ""), (7, None)),
+)
+
+
+@query(_rows(_TEXT, (1, "ABSTRACT\nthe Weibull\nby Eggington."), (2, "# A B C D\nin the\nABCDE"), (3, "De Vries — the  patient, however"), (4, "  model of\nTechnologyand a model"), (5, "patient, health"), (6, ""), (7, None)))
+def space_splits_merged(spark, sf_dir):
+    return SPACED.spark(spark).select("doc_id", G.merge_space_splits(F.col("text"), COUNTS).alias("text"))
+
+
+CITED = Fixture(
+    _TEXT,
+    ((1, "x\n## References\n\n## [1] A b\ncontinued\n\n2. Zed\n### more\nLi, K. Text\n1.5 no\n# Appendix A\nrest\nmore"), (2, "References\nloose\n[1] a\n  b"), (3, "## References"), (4, "Our references\nare [1]\nhere"), (5, None)),
+)
+
+
+@query(_rows(_TEXT, (1, "x\n## References\n\n[1] A b continued\n\n2. Zed more\nLi, K. Text 1.5 no\n# Appendix A\nrest\nmore"), (2, "References\nloose\n[1] a b"), (3, "## References"), (4, "Our references\nare [1]\nhere"), (5, None)))
+def references_tidied(spark, sf_dir):
+    return CITED.spark(spark).select("doc_id", G.repaired_references(F.col("text")).alias("text"))
+
+
+BROKEN = Fixture(
+    _TEXT,
+    (
+        (1, "the  dif fi culties of\tthe of\ufb01ce (a costutility mod el , 95 %) /C15 see inthehealth"),
+        (2, "see https://x.org/inthehealth/a  and `` the\n```\ninthehealth  a\n```\nInHealthTechnology"),
+        (3, "the cost-\nutility model don ' t\nxq7 zkw3 p0vb #9rt lmn4 qd8 &hj2 w5x v6c tgb1\n## References\n[1] a model\nof health"),
+        (4, "a\x00b e\u0301"),
+        (5, ""),
+        (6, None),
+    ),
+)
+
+
+@query(
+    _rows(
+        _TEXT,
+        (1, "the difficulties of the office (a cost-utility model, 95%) • see in the health"),
+        (2, "see https://x.org/inthehealth/a and `` the\n```\ninthehealth  a\n```\nIn Health Technology"),
+        (3, "the cost-utility model don't\n## References\n[1] a model of health"),
+        (4, "a\x00b \u00e9"),
+        (5, ""),
+        (6, None),
+    ).replace("\x00", "' || chr(0) || '")
+)
+def documents_repaired(spark, sf_dir):
+    return repair.repaired_documents(BROKEN.spark(spark), COUNTS)
+
+
+@query(_rows(_TEXT, (1, "xofizzz of the office, don't"), (2, "in fi ab"), (3, ""), (4, None)))
+def documents_repaired_by_older_rule(spark, sf_dir):
+    return repair.legacy_repaired_documents(Fixture(_TEXT, ((1, "xo fi zzz of the of\ufb01ce , don ' t"), (2, "in fi ab"), (3, ""), (4, None))).spark(spark), WORDS)
+
+
 # ---- sources and headers ----------------------------------------------------------------------------
 
 FILES = Fixture("name string, body string", (("my_first-note.txt", "line one\nline two"), ("plain", ""), ("a.b.txt", "é")))
@@ -348,3 +436,94 @@ IMAGES = Fixture(
 def analysis_summaries(spark, sf_dir):
     images = IMAGES.spark(spark).withColumn("personas", F.filter(F.split("personas", ","), lambda x: x != ""))
     return P.analysis_summary(PLANNED.spark(spark), images)
+
+
+# ---- tables ---------------------------------------------------------------------------------------------
+
+TABLED = Fixture(
+    "doc_id long, md string",
+    (
+        (1, "# T\n| a | b |\n|---|---|\n| 1 2 3 | x |\n| 4 5 6 | **7** 8 9 |\ntext\n| only |\n| p |\n| q |\n| r 1 |"),
+        (2, "| a | b |\n|---|---|\n| x |  |\n\n| a | b |\n| long text | more text |\n\n| 2026-01-02 10-20 3x4 | 1 |\n| 2026-01-02 10-20 3x4 | 2 |\n| 0.61–0.82 5 | 2 |"),
+        (3, "## Image Index\n| a | b |\n| 1 2 3 | x |\n## Next\n| page | file |\n| 1 2 3 | x |\n\n| a | b |\n| 1 2 3 a.png | x |\n| 1 2 3 b.PNG | x |"),
+        (4, "no table |\n|\nend"),
+        (5, "<!-- WARNING: Table may have collapsed columns. Seen. -->\n\n| a | b |\n| 1 2 3 | 4 |"),
+        (6, ""),
+    ),
+)
+
+
+@query(
+    _rows(
+        "doc_id long, table_no long, start long, stop long, n_rows long, n_cols long, n_values long, is_index boolean, reason string",
+        (1, 1, 2, 5, 3, 2, 6, False, "crowded_cells"),
+        (1, 2, 7, 10, 4, 1, 1, False, "single_column"),
+        (2, 1, 1, 3, 2, 2, 0, False, "sparse"),
+        (2, 2, 5, 6, 2, 2, 0, False, None),
+        (2, 3, 8, 10, 3, 2, 4, False, None),
+        (3, 1, 2, 3, 2, 2, 3, True, None),
+        (3, 2, 5, 6, 2, 2, 3, True, None),
+        (3, 3, 8, 10, 3, 2, 3, True, None),
+        (4, 1, 2, 2, 1, 1, 0, False, None),
+        (5, 1, 3, 4, 2, 2, 4, False, "crowded_cells"),
+    )
+)
+def tables_judged(spark, sf_dir):
+    t = Q.judged_tables(T.lines(TABLED.spark(spark))).withColumnRenamed("end", "stop")
+    return t.select("doc_id", "table_no", "start", "stop", "n_rows", "n_cols", "n_values", "is_index", "reason")
+
+
+@query(
+    _rows(
+        "doc_id long, message string",
+        (1, "Table 1 may have collapsed columns. Detected cells with multiple numeric values (2 multi-value cell(s) in worst row) across 2 column(s). 2/2 data rows affected. Manual verification recommended."),
+        (1, "Table 2 may have collapsed columns. Single-column table with 3 data row(s) detected. Multi-column tables frequently collapse to 1 column during DOCX-to-markdown conversion. Manual verification recommended."),
+        (2, "Table 1 may have collapsed columns. Table has 2 row(s) with zero numeric values across all data cells — expected data appears missing. Manual verification recommended."),
+        (5, "Table 1 may have collapsed columns. Detected cells with multiple numeric values (1 multi-value cell(s) in worst row) across 2 column(s). 1/1 data rows affected. Manual verification recommended."),
+    )
+)
+def collapse_warnings(spark, sf_dir):
+    return Q.collapse_issues(Q.judged_tables(T.lines(TABLED.spark(spark)))).select("doc_id", "message")
+
+
+_NOTE = "<!-- WARNING: Table may have collapsed columns. Original had %d values but only %d columns detected. Manual verification recommended. -->"
+
+
+@query(
+    _rows(
+        "doc_id long, md string",
+        (1, f"| a | b |\n| 1 2 3 | 4 |\n{_NOTE % (4, 2)}\nend"),
+        (2, f"| a | b |\n| 1 2 3 | 4 |\n{_NOTE % (4, 2)}\nend"),
+        (3, "<!-- WARNING: Table may have collapsed columns. Seen. -->\n\n| a | b |\n| 1 2 3 | 4 |"),
+        (4, ""),
+    )
+)
+def collapsed_tables_found_and_annotated(spark, sf_dir):
+    """The second document was annotated before."""
+    done = f"| a | b |\n| 1 2 3 | 4 |\n{_NOTE % (4, 2)}\nend"
+    docs = Fixture("doc_id long, md string", ((1, "| a | b |\n| 1 2 3 | 4 |\nend"), (2, done), (3, TABLED.rows[4][1]), (4, ""))).spark(spark)
+    return I.annotated_documents(docs)
+
+
+GRIDS = Fixture(
+    "doc_id long, md string",
+    (
+        (1, "| a | b |\n|---|---|\n| 1 |\n\n+---+---+\n| a | b |\n+===+===+\n| 1 | 2 |\n+---+---+"),
+        (2, "+---+\n| x |\ntext\n+---+--+\n| x | y |\n+------+"),
+        (3, "nothing"),
+    ),
+)
+
+
+@query(
+    _rows(
+        "doc_id long, severity string, message string",
+        (1, "FAIL", "Pipe table 1 has inconsistent column counts: [1, 2]. Rows: 3"),
+        (1, "INFO", "Found 4 table(s) (3 pipe, 1 grid)"),
+        (2, "FAIL", "Grid table 1 has inconsistent column counts: [1, 2]. Rows: 3"),
+        (2, "INFO", "Found 3 table(s) (2 pipe, 1 grid)"),
+        (3, "INFO", "No markdown tables found"),
+    )
+)
+def table_structure_checked(spark, sf_dir):
+    return Q.table_structure_issues(T.lines(GRIDS.spark(spark))).select("doc_id", "severity", "message")
