@@ -9,6 +9,7 @@ from inkstrata.functions import segment as G
 from inkstrata.functions import text as X
 from inkstrata.operators import classify as C
 from inkstrata.operators import images as I
+from inkstrata.operators import index_text as W
 from inkstrata.operators import noise as N
 from inkstrata.operators import quality as Q
 from inkstrata.operators import repair
@@ -527,3 +528,60 @@ GRIDS = Fixture(
 )
 def table_structure_checked(spark, sf_dir):
     return Q.table_structure_issues(T.lines(GRIDS.spark(spark))).select("doc_id", "severity", "message")
+
+
+# ---- written indexes ----------------------------------------------------------------------------------
+
+_HEAD = "# Image Index: %s\n\nSource: /x/%s.pdf\nConverted: /x/%s.md\nGenerated: 2026-01-02 03:04\nPipeline version: v1\n\nTotal pages: %d\nPages with images: %d\nTotal images detected: %d\nEstimated substantive images: %d %s\nSubstantive image files: %d\nDecorative image files: %d\n\n---\n\n"
+_PAGES = "## Page-by-Page Index\n\n| Page | Images | Substantive | Context (first 150 chars) |\n|------|--------|-------------|---------------------------|\n"
+_DETAIL = "## Per-Image Classification Detail\n\n| Page | Image | Dims | File Size | Class | Reason |\n|------|-------|------|-----------|-------|--------|\n"
+_ONLY = "## Substantive Images Only\n\n| Page | Images | Context |\n|------|--------|---------|\n"
+_CRITERIA = "- Filtering criteria applied: dimensions (<50x50px), repeated xref (>50% pages), title/cover page, last-page decorations, figure keywords, journal branding (<100px/<5KB/extreme aspect), blank image detection (3-tier: size<2KB/near-black/<16colors/std<5), M1 color-block (<32 unique colors), low-density badge (<0.15 B/px AND <50 colors), low word count render (<20 words)"
+INDEXES = Fixture("doc_id long, stem string, source_path string, output_path string, generated string, version string, n_overrides long, n_files long", ((1, "p", "/x/p.pdf", "/x/p.md", "2026-01-02 03:04", "1", 1, 5), (2, "q", "/x/q.pdf", "/x/q.md", "2026-01-02 03:04", "1", 0, 0)))
+INDEX_PAGES = Fixture("doc_id long, page long, image_count long, is_substantive boolean, context string, drawings long, area double, rendered boolean", ((1, 10, 2, True, "a | b", 60, 1.0, None), (1, 2, 1, False, None, 60, 1.0, True), (1, 3, 0, False, "none", 60, 1.0, None), (2, 1, 0, False, "x", None, None, None)))
+INDEX_IMAGES = Fixture("doc_id long, page long, pos long, file_path string, xref long, width long, height long, size_bytes long, is_substantive boolean, reason string", ((1, 10, 2, "", 7, 5, 6, None, None, None), (1, 10, 1, "i/a.png", None, 100, 200, 12345, True, "large"), (1, 2, 1, "b.png", None, None, None, None, False, "logo")))
+_WRITTEN = (
+    _HEAD % ("p", "p", "p", 3, 2, 3, 1, "(after filtering + 1 override(s))", 2, 1)
+    + _PAGES + "| 2 | 1 | No | [no text on page] |\n| 10 | 2 | Yes | a \\| b |\n\n---\n\n"
+    + _DETAIL + "| 2 | b.png | 0x0 | ? | DEC | logo |\n| 10 | a.png | 100x200 | 12,345B | SUB | large |\n| 10 | xref-7 | 5x6 |  | SUB | unknown |\n\n---\n\n"
+    + _ONLY + "| 10 | 1 | a \\| b |\n\n---\n\n"
+    + "## Vector Content Notes\n\n- Page 2: 60 vector drawings detected (page rendered as PNG)\n- Page 10: 60 vector drawings detected (figure may contain additional vector elements)\n\n---\n\n"
+    + "## Filtering Summary\n\n- Pages scanned: 3\n- Pages with images: 2\n- Total image files on disk: 5\n- Images classified SUB: 2\n- Images classified DEC: 1\n- Pages classified as decorative: 1\n- Pages classified as substantive: 1\n"
+    + _CRITERIA + ", vector rendering (1 pages)\n- Manual overrides applied: 1 page(s) (via image-index-overrides.json)\n"
+)
+_EMPTY = (
+    _HEAD % ("q", "q", "q", 1, 0, 0, 0, "(after filtering)", 0, 0)
+    + _PAGES + "| — | — | — | No images found in document |\n\n---\n\n" + _DETAIL + "\n---\n\n" + _ONLY + "| — | — | No substantive images found |\n\n---\n\n"
+    + "## Filtering Summary\n\n- Pages scanned: 1\n- Pages with images: 0\n- Images classified SUB: 0\n- Images classified DEC: 0\n- Pages classified as decorative: 0\n- Pages classified as substantive: 0\n" + _CRITERIA + "\n"
+)
+
+
+@query(_rows("doc_id long, md string", (1, _WRITTEN), (2, _EMPTY)))
+def image_indexes_written(spark, sf_dir):
+    return W.written_index(INDEXES.spark(spark), INDEX_PAGES.spark(spark), INDEX_IMAGES.spark(spark))
+
+
+_OFFICE = "Estimated substantive images: %s\n| Page | Images | Substantive | Context | Notes |\n|---|---|---|---|---|\n| 1 | 2 | %s | t1 | n1 |\n| 2 | 1 | No (duplicate) | t2 | n2 |\n| 3 | 1 | %s | t3 |  |\n## Substantive Images Only\n| Page | Images | Context | Notes |\n|---|---|---|---|\n%s\n---\n- Pages classified as decorative: %d\n- Pages classified as substantive: %d\n- Filtering criteria applied: c%s"
+OFFICE = Fixture(
+    "doc_id long, file string, md string",
+    (
+        (1, "deck.pptx", _OFFICE % ("1 (after filtering)", "Yes", "No", "| 1 | 2 | t1 | n1 |", 2, 1, "")),
+        (2, "other.pptx", _OFFICE % ("1 (after filtering)", "Yes", "No", "| 1 | 2 | t1 | n1 |", 2, 1, "")),
+        (3, "deck.docx", None),
+        (4, "sole.docx", _OFFICE % ("1 (after filtering)", "Yes", "No", "| 1 | 2 | t1 | n1 |", 2, 1, "")),
+    ),
+)
+RULES = Fixture("ord long, regex string, page long, classification string", ((1, "^deck", 1, "substantive"), (2, "^deck", 3, "SUBSTANTIVE"), (3, "^deck", 2, "maybe"), (4, "^deck", 9, "DECORATIVE"), (5, "^sole", 1, "SUBSTANTIVE"), (6, "^sole", 1, "DECORATIVE")))
+
+
+@query(
+    _rows(
+        "doc_id long, md string, n_changed long",
+        (1, _OFFICE % ("2 (after filtering + 1 override(s))", "Yes", "Yes", "| 1 | 2 | t1 | n1 |\n| 3 | 1 | t3 |  |", 1, 2, "\n- Manual overrides applied: 1 page(s) (via image-index-overrides.json)"), 1),
+        (2, _OFFICE % ("1 (after filtering)", "Yes", "No", "| 1 | 2 | t1 | n1 |", 2, 1, ""), 0),
+        (3, None, 0),
+        (4, _OFFICE % ("0 (after filtering + 1 override(s))", "No", "No", "| — | — | No substantive images found |  |", 3, 0, "\n- Manual overrides applied: 1 page(s) (via image-index-overrides.json)"), 1),
+    )
+)
+def image_indexes_overridden(spark, sf_dir):
+    return W.overridden_indexes(OFFICE.spark(spark), RULES.spark(spark))
