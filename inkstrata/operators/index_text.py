@@ -93,6 +93,65 @@ def written_index(docs: DataFrame, pages: DataFrame, images: DataFrame) -> DataF
     return x.select("doc_id", F.concat_ws("\n", *parts, notes, told).alias("md"))
 
 
+# The filters that an office index names, by its source
+OFFICE_CRITERIA = {True: "manifest blank flag, manifest duplicate flag, manifest decorative flag, dimensions (<50x50px), title/cover page, last-page decorations, figure keywords", False: "dimensions (<50x50px), repeated image (>50% pages), title/cover page, last-page decorations, figure keywords"}
+
+
+def written_office_index(docs: DataFrame, pages: DataFrame) -> DataFrame:
+    """docs (doc_id, stem, source_path, output_path, generated, version, manifest, total_pages, total_images), pages (doc_id, page, images, label, is_substantive,
+    lost, n_decorative, context, notes array) of those with images: doc_id, md. With a manifest (its name, else null) tables have a column of notes, and images that
+    it flags are counted. images are those shown: neither duplicates nor flagged."""
+    p = pages.join(docs.select("doc_id", F.col("manifest").isNotNull().alias("listed")), "doc_id")
+    sub = F.coalesce(F.col("is_substantive"), F.lit(False))
+    said = F.when(F.length("context") > 150, F.concat(F.left("context", F.lit(150)), F.lit("..."))).otherwise(F.coalesce(F.nullif(F.col("context"), F.lit("")), F.lit("[no text context]")))
+    note = F.when(F.size("notes") > 0, F.concat(F.lit(" | "), F.array_join("notes", "; "))).otherwise("")
+    barred = lambda c: F.replace(c, F.lit("|"), F.lit("\\|"))
+    tail = F.concat(F.lit(" | "), barred(said), F.when(F.col("listed"), F.concat(F.lit(" | "), barred(note))).otherwise(""), F.lit(" |"))
+    row = _text("| ", F.col("page"), " | ", F.col("images"), " | ", F.col("label"), tail)
+    only = F.when(sub, _text("| ", F.col("page"), " | ", F.col("images"), tail))
+    flagged = F.when(F.col("listed"), F.col("n_decorative")).otherwise(0)
+    n = p.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum("images").alias("shown"), F.sum(F.when(sub, F.col("images"))).alias("sub_images"), F.count_if(sub).alias("sub"), F.count_if(~sub).alias("dec"), F.sum(flagged).alias("flagged"), F.count_if(sub & F.col("lost") & F.col("listed")).alias("lost"))
+    x = docs.join(n, "doc_id", "left").fillna(0, ["n", "shown", "sub_images", "sub", "dec", "flagged", "lost"])
+    x = x.join(_listed(p.withColumn("line", row), ["page"], "t_pages"), "doc_id", "left").join(_listed(p.withColumn("line", only), ["page"], "t_only"), "doc_id", "left")
+    listed = F.col("manifest").isNotNull()
+    either = lambda a, b: F.when(listed, a).otherwise(b)
+    rule = F.lit("\n---\n")
+    head = F.concat_ws(
+        "\n",
+        _text("# Image Index: ", F.col("stem"), "\n"),
+        _text("Source: ", F.col("source_path")),
+        _text("Converted: ", F.col("output_path")),
+        _text("Generated: ", F.col("generated")),
+        _text("Pipeline version: v", F.col("version")),
+        F.when(listed, _text("Data source: manifest (", F.col("manifest"), ")")),
+        _text("\nTotal pages: ", F.col("total_pages")),
+        _text("Pages with images: ", F.col("n")),
+        _text("Total images detected: ", F.col("total_images")),
+        F.when(listed & (F.col("shown") != F.col("total_images")), _text("Unique non-decorative images: ", F.col("shown"), " (excludes duplicates and manifest-decorative)")),
+        _text(ESTIMATE, " ", F.col("sub_images"), " (after filtering)"),
+        F.when(F.col("flagged") > 0, _text("Manifest-decorative images: ", F.col("flagged"), " (small icons/badges flagged during extraction)")),
+        F.when(F.col("lost") > 0, _text("Pages with content lost (WMF failure): ", F.col("lost"))),
+    )
+    page_head = either(PAGE_HEAD.replace("150 chars) |", "150 chars) | Notes |") + "-------|", PAGE_HEAD)
+    only_head = either(SUBSTANTIVE_HEAD.replace("Context |", "Context | Notes |") + "-------|", SUBSTANTIVE_HEAD)
+    told = F.concat_ws(
+        "\n",
+        F.lit("## Filtering Summary\n"),
+        _text("- Pages scanned: ", F.col("total_pages")),
+        _text("- Pages with images: ", F.col("n")),
+        _text(DECORATIVE_PAGES, " ", F.col("dec")),
+        _text(SUBSTANTIVE_PAGES, " ", F.col("sub")),
+        F.when(F.col("flagged") > 0, _text("- Individual images flagged decorative (manifest): ", F.col("flagged"))),
+        F.when(F.col("lost") > 0, _text("- Pages with content lost (WMF render failure): ", F.col("lost"))),
+        F.when(listed, "- Data source: manifest JSON (includes renders, blank/duplicate flags)"),
+        _text(CRITERIA_LINE, " ", either(OFFICE_CRITERIA[True], OFFICE_CRITERIA[False])),
+        F.lit(""),
+    )
+    pages_told = F.coalesce("t_pages", either(NO_IMAGES + " |", NO_IMAGES))
+    only_told = F.coalesce("t_only", either(NO_SUBSTANTIVE + " |", NO_SUBSTANTIVE))
+    return x.select("doc_id", F.concat_ws("\n", head, rule, page_head, pages_told, rule, only_head, only_told, rule, told).alias("md"))
+
+
 # ---- overrides in a written index --------------------------------------------------------------------
 
 

@@ -585,3 +585,37 @@ RULES = Fixture("ord long, regex string, page long, classification string", ((1,
 )
 def image_indexes_overridden(spark, sf_dir):
     return W.overridden_indexes(OFFICE.spark(spark), RULES.spark(spark))
+
+
+OFFICE_DOCS = Fixture("doc_id long, stem string, source_path string, output_path string, generated string, version string, manifest string, total_pages long, total_images long", ((1, "d", "/x/d.pptx", "/x/d.md", "2026-01-02 03:04", "1", "m.json", 4, 9), (2, "e", "/x/e.docx", "/x/e.md", "2026-01-02 03:04", "1", None, 1, 2), (3, "f", "/x/f.pptx", "/x/f.md", "2026-01-02 03:04", "1", "m.json", 2, 0)))
+OFFICE_PAGES = Fixture("doc_id long, page long, images long, label string, is_substantive boolean, lost boolean, n_decorative long, context string, told string", ((1, 2, 3, "Yes", True, True, 1, "a|b", "blank|x"), (1, 10, 0, "No (duplicate)", False, True, 2, "", ""), (2, 1, 2, "Yes", True, True, 5, "c" * 151, "n")))
+_OFFICE_HEAD = "# Image Index: %s\n\nSource: /x/%s\nConverted: /x/%s.md\nGenerated: 2026-01-02 03:04\nPipeline version: v1\n"
+_NOTED_PAGES = "## Page-by-Page Index\n\n| Page | Images | Substantive | Context (first 150 chars) | Notes |\n|------|--------|-------------|---------------------------|-------|\n"
+_NOTED_ONLY = "## Substantive Images Only\n\n| Page | Images | Context | Notes |\n|------|--------|---------|-------|\n"
+_LISTED = "- Data source: manifest JSON (includes renders, blank/duplicate flags)\n- Filtering criteria applied: manifest blank flag, manifest duplicate flag, manifest decorative flag, dimensions (<50x50px), title/cover page, last-page decorations, figure keywords\n"
+
+
+@query(
+    _rows(
+        "doc_id long, md string",
+        (
+            1,
+            _OFFICE_HEAD % ("d", "d.pptx", "d") + "Data source: manifest (m.json)\n\nTotal pages: 4\nPages with images: 2\nTotal images detected: 9\nUnique non-decorative images: 3 (excludes duplicates and manifest-decorative)\nEstimated substantive images: 3 (after filtering)\nManifest-decorative images: 3 (small icons/badges flagged during extraction)\nPages with content lost (WMF failure): 1\n\n---\n\n"
+            + _NOTED_PAGES + "| 2 | 3 | Yes | a\\|b |  \\| blank\\|x |\n| 10 | 0 | No (duplicate) | [no text context] |  |\n\n---\n\n" + _NOTED_ONLY + "| 2 | 3 | a\\|b |  \\| blank\\|x |\n\n---\n\n"
+            + "## Filtering Summary\n\n- Pages scanned: 4\n- Pages with images: 2\n- Pages classified as decorative: 1\n- Pages classified as substantive: 1\n- Individual images flagged decorative (manifest): 3\n- Pages with content lost (WMF render failure): 1\n" + _LISTED,
+        ),
+        (
+            2,
+            _OFFICE_HEAD % ("e", "e.docx", "e") + "\nTotal pages: 1\nPages with images: 1\nTotal images detected: 2\nEstimated substantive images: 2 (after filtering)\n\n---\n\n" + _PAGES + "| 1 | 2 | Yes | " + "c" * 150 + "... |\n\n---\n\n" + _ONLY + "| 1 | 2 | " + "c" * 150 + "... |\n\n---\n\n"
+            + "## Filtering Summary\n\n- Pages scanned: 1\n- Pages with images: 1\n- Pages classified as decorative: 0\n- Pages classified as substantive: 1\n- Filtering criteria applied: dimensions (<50x50px), repeated image (>50% pages), title/cover page, last-page decorations, figure keywords\n",
+        ),
+        (
+            3,
+            _OFFICE_HEAD % ("f", "f.pptx", "f") + "Data source: manifest (m.json)\n\nTotal pages: 2\nPages with images: 0\nTotal images detected: 0\nEstimated substantive images: 0 (after filtering)\n\n---\n\n" + _NOTED_PAGES + "| — | — | — | No images found in document | |\n\n---\n\n" + _NOTED_ONLY + "| — | — | No substantive images found | |\n\n---\n\n"
+            + "## Filtering Summary\n\n- Pages scanned: 2\n- Pages with images: 0\n- Pages classified as decorative: 0\n- Pages classified as substantive: 0\n" + _LISTED,
+        ),
+    )
+)
+def office_indexes_written(spark, sf_dir):
+    pages = OFFICE_PAGES.spark(spark).withColumn("notes", F.filter(F.split("told", ";"), lambda x: x != ""))
+    return W.written_office_index(OFFICE_DOCS.spark(spark), pages)
