@@ -19,8 +19,15 @@ LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl",
 CAPTION_TYPES = {"forest plot": "forest-plot", "kaplan": "kaplan-meier", "survival": "kaplan-meier", "tornado": "tornado-diagram", "decision tree": "decision-tree", "flow chart": "flow-chart", "flowchart": "flow-chart", "scatter": "scatter", "cost-effectiveness plane": "scatter", "box plot": "box-plot", "histogram": "histogram", "heatmap": "heatmap", "bar chart": "bar-chart", "line chart": "line-chart", "pie chart": "pie-chart", "funnel": "funnel-plot", "network": "network-diagram", "table": "table-image", "figure": "other", "fig.": "other"}
 
 # Patterns of extraction faults and what replaces them, in order: number-only headings and page numbers; exponents, bullets, quoted comparisons
-ORPHANS = [(r"(?m)^## \d+ \d+[ \t]*$", ""), (r"(?m)^[ \t]*\d{1,3}[ \t]*$", "")]
-EXPONENTS = [(r"R\s*\[2\]", "R^2"), (r"(?m)^[ \t]*`o`[ \t]+", "- "), (r"(?m)^>(\d)", r"\\>$1")]
+CONTROLS = [(r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "")]
+ORPHANS = [(r"(?m)^## \d+ \d+\s*$", ""), (r"(?m)^\s*\d{1,3}\s*$", "")]
+EXPONENTS = [(r"R\s*\[2\]", "R^2"), (r"(?m)^\s*`o`\s+", "- "), (r"(?m)^>(\d)", r"\\>$1")]
+# Signs that a font's encoding reads wrongly, by what stands beside them, and `- 0[n]` in reference lists
+GLYPH_CONTEXTS = [(r"(?U)(\w{2,})\s*þ\s*(\w{2,})", "$1 + $2"), (r"(?U)(?<=\d)\s*ð\s*(?=\w)", "("), (r"(?U)(?<=\w)\s*Þ\s*(?=\s|[,;.\d])", ")"), (r"(?<=\s)¼(?=\s)", "="), (r"- 0\[(\d)\]", "- [$1]")]
+# A spaced quarter, also alone in a table cell; Cyrillic capitals and the Latin ones that they look like; letters and what they are with an acute
+QUARTERS = [(r"(?<=\s)¼(?=\s)", "="), (r"(?<=\|)\s*¼\s*(?=\|)", " = ")]
+CONFUSABLES = ("АВСЕНКМОРТУХ", "ABCEHKMOPTYX")
+ACUTES = {"a": "á", "e": "é", "i": "í", "o": "ó", "u": "ú", "n": "ñ", "A": "Á", "E": "É", "I": "Í", "O": "Ó", "U": "Ú", "N": "Ñ"}
 # A misread euro sign, captions without their word, needless escapes, an ideographic stop between digits
 EUROS = [(r"\bAC\s?(\d)", "€$1"), (r"(?m)^(\d{1,3}): ([A-Z])", "Table $1: $2")]
 ESCAPES = [(r"\\([~*])", "$1")]
@@ -48,10 +55,10 @@ def sanitized_comment(text: Column) -> Column:
 
 
 def repaired_extraction(text: Column) -> Column:
-    """Orphan page numbers and number-only headings dropped, capital section words as headings, bullets, exponents, quoted comparisons and compounds repaired."""
-    x = _replaced(text, ORPHANS)
+    """Control characters, orphan page numbers and number-only headings dropped, capital section words as headings, bullets, exponents, quoted comparisons and compounds repaired."""
+    x = _replaced(text, CONTROLS + ORPHANS)
     for h in CAPITAL_HEADINGS:
-        x = F.regexp_replace(x, rf"(?m)^{h}[ \t]*$", f"## {h.title()}")
+        x = F.regexp_replace(x, rf"(?m)^{h}\s*$", f"## {h.title()}")
     x = _replaced(x, EXPONENTS)
     for c in COMPOUNDS:
         merged = c.replace("-", "")
@@ -88,11 +95,17 @@ def caption_type(caption: Column) -> Column:
     return out
 
 
+def repaired_glyphs(text: Column) -> Column:
+    """Glyph codes decoded; then thorns and eths as plus signs and brackets, spaced quarters as equals, where their neighbours say so, and `- 0[n]` as `- [n]`."""
+    return _replaced(decoded_fonts(text), GLYPH_CONTEXTS)
+
+
 def repaired_encoding(text: Column) -> Column:
-    """Thorns as plus signs, a spaced quarter as equals, and Cyrillic look-alikes as Latin letters."""
-    x = F.translate(text, "þÞ", "++")
-    x = F.regexp_replace(x, "(\\s)¼(\\s)", "$1=$2")
-    return F.translate(x, "аеорсхАЕОРСХ", "aeopcxAEOPCX")
+    """Thorns as plus signs, a quarter between blanks or alone in a cell as equals, Cyrillic capitals as the Latin ones that they look like, a letter and an acute within a word as one."""
+    x = F.translate(_replaced(F.translate(text, "þÞ", "++"), QUARTERS), *CONFUSABLES)
+    for plain, acute in ACUTES.items():
+        x = F.regexp_replace(x, rf"(?U){plain}´(?=\w)", acute)
+    return x
 
 
 def closed_ligature_brackets(text: Column) -> Column:

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from inkstrata.operators.classify import has_vector_content
+
 
 def flag_duplicates(images: DataFrame) -> DataFrame:
     """images (doc_id, pos, file, sha): every row stays; later ones of one hash point to the first."""
@@ -79,6 +81,18 @@ def page_verdicts(images: DataFrame) -> DataFrame:
     return images.groupBy("doc_id", "page").agg(F.bool_or("is_substantive").alias("substantive"), F.count(F.lit(1)).alias("n_images"), F.count_if("is_substantive").alias("n_substantive"))
 
 
+def page_classes(pages: DataFrame, images: DataFrame) -> DataFrame:
+    """pages (doc_id, page, drawings, area) and images (doc_id, page, image_id, is_blank, is_substantive, reason): each image's class, and its page's. All images of a page with significant vector
+    drawings count, others unless blank or ruled out; a page counts by its drawings, without any image too, or by an image: doc_id, page, page_substantive, image_id (null without images), is_substantive, reason."""
+    vector = F.coalesce(has_vector_content(F.col("drawings"), F.col("area")), F.lit(False))
+    x = pages.select("doc_id", "page", vector.alias("vector")).join(images, ["doc_id", "page"], "left")
+    blank = F.coalesce(F.col("is_blank"), F.lit(False))
+    x = x.withColumn("reason", F.when(F.col("image_id").isNull(), None).when(F.col("vector"), "vector_page").when(blank, "blank").otherwise(F.col("reason")))
+    x = x.withColumn("is_substantive", F.when(F.col("image_id").isNull(), None).otherwise(F.col("vector") | (~blank & F.coalesce("is_substantive", F.lit(False)))))
+    any_ = F.coalesce(F.bool_or("is_substantive").over(Window.partitionBy("doc_id", "page")), F.lit(False))
+    return x.select("doc_id", "page", (F.col("vector") | any_).alias("page_substantive"), "image_id", "is_substantive", "reason")
+
+
 def repair_tables(found: DataFrame, source: DataFrame) -> DataFrame:
     """The k-th table of a document with the k-th of its source (doc_id, pos, body): an empty or missing one takes the source's."""
     k = F.row_number().over(Window.partitionBy("doc_id").orderBy("pos"))

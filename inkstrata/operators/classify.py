@@ -132,6 +132,13 @@ def topic(text: Column, topics: dict[str, list[str]] = TOPICS) -> Column:
     return first_most([(n, _hits(F.lower(text), w, score)) for n, w in topics.items()], "Uncategorised")
 
 
+def topic_or_document(context: Column, file: Column, topics: dict[str, list[str]] | None) -> Column:
+    """The topic of context and file name; without topics the file's stem, so images are grouped by document."""
+    name = F.regexp_extract(file, "([^/]*)$", 1)
+    stem = F.when(F.coalesce(file, F.lit("")) == "", "Unknown Document").otherwise(F.regexp_replace(name, r"(?<=.)\.[^.]*$", ""))
+    return stem if topics is None else topic(F.concat_ws(" ", context, file), topics)
+
+
 def source_category(path: Column) -> Column:
     low, out = F.lower(path), None
     for name, words in SOURCES.items():

@@ -14,12 +14,19 @@ def _issue(check: str, severity: Column | str, message: Column) -> list[Column]:
     return ["doc_id", F.lit(check).alias("check_name"), (F.lit(severity) if isinstance(severity, str) else severity).alias("severity"), message.alias("message")]
 
 
+# The key of the page count, by format
+COUNT_KEYS = {"pdf": "pages", "pptx": "slides"}
+
+
 def header_issues(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, md): missing header keys, or no header at all."""
+    """docs (doc_id, md): missing header keys, among them that of the page count of its format, or no header at all."""
     head = F.regexp_extract("md", r"(?s)^---\n(.*?)\n---", 1)
     there = docs.withColumn("head", head).withColumn("has", F.col("md").rlike(r"(?s)^---\n.*?\n---"))
     none = there.filter("not has").select(*_issue("header", "FAIL", F.lit("no header block")))
-    keys = there.filter("has").select("doc_id", "head", F.explode(F.array(*map(F.lit, HEADER_KEYS))).alias("k")).filter(~F.contains("head", "k"))
+    fmt = F.lower(F.regexp_extract("head", r"source_format:\s*(\w+)", 1))
+    own = F.create_map(*[F.lit(x) for kv in COUNT_KEYS.items() for x in kv])[fmt]
+    needed = F.array_compact(F.concat(F.array(*map(F.lit, HEADER_KEYS)), F.array(own)))
+    keys = there.filter("has").select("doc_id", "head", F.explode(needed).alias("k")).filter(~F.contains("head", F.concat("k", F.lit(":"))))
     return none.unionByName(keys.select(*_issue("header", "FAIL", F.concat(F.lit("missing "), "k"))))
 
 
@@ -64,10 +71,14 @@ def encoding_issues(lines: DataFrame, most: int = 10) -> DataFrame:
 
 
 def syntax_issues(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, md): odd numbers of bold marks, and links without target."""
-    n = docs.select("doc_id", F.regexp_count("md", F.lit(r"\*\*")).alias("bold"), F.regexp_count("md", F.lit(r"\]\(\s*\)")).alias("links"))
-    odd = n.filter("bold % 2 = 1").select(*_issue("syntax", "WARN", F.concat(F.lit("odd bold marks: "), F.col("bold").cast("string"))))
-    return odd.unionByName(n.filter("links > 0").select(*_issue("syntax", "WARN", F.concat(F.lit("links without target: "), F.col("links").cast("string")))))
+    """docs (doc_id, md): odd numbers of bold marks, and of single stars but for list items, escaped ones not counted; links whose bracket stays open in their line, and
+    links without target."""
+    bare = F.replace("md", F.lit("\\*"), F.lit(""))
+    single = F.regexp_replace(F.replace(bare, F.lit("**"), F.lit("")), r"(?m)^\* ", "- ")
+    n = docs.select("doc_id", F.regexp_count(bare, F.lit(r"\*\*")).alias("bold"), F.regexp_count(single, F.lit(r"\*")).alias("italic"), F.regexp_count("md", F.lit(r"(?m)\[([^\]]+)\]\([^)]*$")).alias("open"), F.regexp_count("md", F.lit(r"\]\(\s*\)")).alias("links"))
+    rules = [("bold % 2 = 1", "odd bold marks: ", "bold"), ("italic % 2 = 1", "odd italic marks: ", "italic"), ("open > 0", "links left open: ", "open"), ("links > 0", "links without target: ", "links")]
+    told = F.array_compact(F.array(*[F.when(F.expr(rule), F.concat(F.lit(text), F.col(c).cast("string"))) for rule, text, c in rules]))
+    return n.select("doc_id", F.explode(told).alias("m")).select(*_issue("syntax", "WARN", F.col("m")))
 
 
 def gate(docs: DataFrame, issues: DataFrame) -> DataFrame:

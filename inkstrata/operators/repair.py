@@ -18,7 +18,7 @@ def repaired_documents(docs: DataFrame, counts: dict[str, int]) -> DataFrame:
     lines of noise. counts: lower-case words and their counts. doc_id names a row: noise is judged by neighbouring lines, which is the only shuffle. A null
     text stays null, an empty one empty; an empty table gives an empty result; other columns are ignored."""
     text = L.joined_hyphen_breaks(R.composed(F.col("text")))
-    text = G.repaired_words(L.single_spaced(X.decoded_fonts(text)), counts)
+    text = G.repaired_words(L.single_spaced(X.repaired_glyphs(text)), counts)
     rows = docs.select("doc_id", L.closed_spacing(text).alias("text"))
     return N.without_noise(rows.filter("text is not null")).unionByName(docs.filter("text is null").select("doc_id", "text"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -63,6 +63,36 @@ def title(lines: DataFrame, rejected: list[str], first: int = 80) -> DataFrame:
     return h.filter(ok).groupBy("doc_id").agg(F.min_by("t", "line_no").alias("title"))
 
 
+# What headings of institutions and programs contain, and are as a whole; how names of journals begin, and such names
+INSTITUTIONAL = ["health technology assessment", "statens legemiddelverk", "folkehelseinstituttet", "table of contents", "contents", "systematic review", "rapid review", "technology appraisal", "evidence report", "clinical practice guideline", "erasmus school of health policy", "university of oslo", "uio"]
+SOMEWHERE = ["microsoft word", "untitled", "slide ", "powerpoint", "health technology assessment", "statens legemiddelverk", "folkehelseinstituttet", "table of contents", "erasmus school of health policy", "university of oslo"]
+WHOLLY = ["presentation", "document", "pdf", "contents", "systematic review", "rapid review", "technology appraisal", "evidence report", "clinical practice guideline", "uio"]
+JOURNAL_STARTS = ["journal of", "the journal of", "annals of", "proceedings of", "transactions on", "archives of", "bulletin of", "international journal", "european journal", "american journal", "british journal"]
+JOURNALS = ["value in health", "pharmacoeconomics", "medical decision making", "the lancet", "the bmj", "nature", "science", "plos one", "bmc health services research", "bmc medicine", "health technology assessment", "journal of medical economics"]
+
+
+def is_institutional(heading: Column) -> Column:
+    """Short headings, and those of institutions and kinds of report."""
+    low = F.lower(heading)
+    return (F.length(heading) <= 5) | F.exists(F.array(*map(F.lit, INSTITUTIONAL)), lambda x: low.contains(x))
+
+
+def is_no_title(heading: Column) -> Column:
+    """Short headings, names of institutions and programs anywhere, kinds of report and names of journals as a whole."""
+    low = F.trim(F.lower(heading))
+    some = lambda names, test: F.exists(F.array(*map(F.lit, names)), test)
+    return (F.length(heading) <= 5) | some(SOMEWHERE, lambda x: low.contains(x)) | low.isin(WHOLLY + JOURNALS) | some(JOURNAL_STARTS, lambda x: low.startswith(x))
+
+
+def title_or_subtitle(lines: DataFrame, first: int = 30) -> DataFrame:
+    """The first level-1 heading among the first lines that can be a title, else the first such of level 2, without marks: doc_id, title. Documents without either have no row."""
+    h = lines.filter((F.col("line_no") <= first) & F.col("line").rlike("^##? ")).withColumn("level", F.when(F.col("line").startswith("## "), 2).otherwise(1))
+    t = F.trim(F.regexp_replace(F.trim(F.regexp_replace("line", r"^#+\s*", "")), r"\*+", ""))
+    t = F.trim(F.regexp_replace(F.trim(F.regexp_replace(t, r"\s*\{#[^}]*\}\s*$", "")), "^`+|`+$", ""))
+    h = h.withColumn("title", t).filter(~is_no_title(F.col("title")))
+    return h.groupBy("doc_id").agg(F.min_by("title", F.struct("level", "line_no")).alias("title"))
+
+
 def table_blocks(lines: DataFrame) -> DataFrame:
     """Maximal runs of lines that begin and end with a pipe: doc_id, table_no, start, end, n_rows."""
     t = lines.filter(F.col("line").rlike(r"^\s*\|.*\|\s*$"))

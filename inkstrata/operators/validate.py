@@ -49,6 +49,15 @@ def flag_rate(flags: DataFrame, rate: float = 0.40, pages: int = 10) -> DataFram
     return g.filter((F.col("n_pages") >= pages) & (F.col("rate") >= rate))
 
 
+def flag_rate_notes(flags: DataFrame, slides: DataFrame, rate: float = 0.40, pages: int = 10, sure: float = 0.90, garbled: int = 5) -> DataFrame:
+    """flags (doc_id, flagged), a row a page, and slides (doc_id, is_slides, n_garbled): doc_id, n_pages, rate, is_slides (looked at only from the rate `sure` on, null below), wanted (to be
+    extracted anew: enough pages and flagged ones) and note: slides are expected to be flagged, unless more than `garbled` markers show that they are garbled."""
+    g = flags.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_pages"), F.avg(F.col("flagged").cast("int")).alias("rate")).join(slides, "doc_id", "left")
+    shown = F.when(F.col("rate") >= sure, F.coalesce("is_slides", F.lit(False)))
+    note = F.when(shown, F.when(F.col("n_garbled") > garbled, "slides with garbled output").otherwise("high rate expected for slides"))
+    return g.select("doc_id", "n_pages", "rate", shown.alias("is_slides"), ((F.col("n_pages") >= pages) & (F.col("rate") >= rate)).alias("wanted"), note.alias("note"))
+
+
 def word_ratio(pairs: DataFrame) -> DataFrame:
     """pairs (doc_id, out_text, ref_text): fallback under 0.1, warn under 0.3, info under 0.6, else ok; no_reference without words."""
     n = pairs.select("doc_id", F.size(words(F.col("out_text"))).alias("o"), F.size(words(F.col("ref_text"))).alias("r"))

@@ -519,10 +519,10 @@ def whitespace_cleanup(spark, sf_dir):
 
 def _repair_sql(t: str) -> str:
     r = lambda x, p, s: f"regexp_replace({x}, {_quoted(p)}, {_quoted(s)}, 'g')"
-    x = r(r(t, r"(?m)^## \d+ \d+[ \t]*$", ""), r"(?m)^[ \t]*\d{1,3}[ \t]*$", "")
+    x = r(r(t, r"(?m)^## \d+ \d+\s*$", ""), r"(?m)^\s*\d{1,3}\s*$", "")
     for h in X.CAPITAL_HEADINGS:
-        x = r(x, rf"(?m)^{h}[ \t]*$", f"## {h.title()}")
-    x = r(r(r(x, r"R\s*\[2\]", "R^2"), r"(?m)^[ \t]*`o`[ \t]+", "- "), r"(?m)^>(\d)", r"\\>\1")
+        x = r(x, rf"(?m)^{h}\s*$", f"## {h.title()}")
+    x = r(r(r(x, r"R\s*\[2\]", "R^2"), r"(?m)^\s*`o`\s+", "- "), r"(?m)^>(\d)", r"\\>\1")
     for c in X.COMPOUNDS:
         x = f"replace(replace({x}, '{c.replace('-', '')}', '{c}'), '{c.replace('-', '').title()}', '{c.title()}')"
     return r(x, r"\n{4,}", "\n\n\n")
@@ -546,10 +546,10 @@ def _replaced_sql(t: str, table: dict) -> str:
     return t
 
 
-@query(f"select id, {_fonts_sql('t')} fonts, {_replaced_sql('t', X.LIGATURES)} ligatures, translate(regexp_replace(translate(t, 'þÞ', '++'), '(\\s)¼(\\s)', '\\1=\\2', 'g'), 'аеорсхАЕОРСХ', 'aeopcxAEOPCX') encoding from {MESSY.sql()}")
+@query(f"select id, {_fonts_sql('t')} fonts, {_replaced_sql('t', X.LIGATURES)} ligatures from {MESSY.sql()}")
 def font_code_map(spark, sf_dir):
     t = F.col("t")
-    return MESSY.spark(spark).select("id", X.decoded_fonts(t).alias("fonts"), X.expanded_ligatures(t).alias("ligatures"), X.repaired_encoding(t).alias("encoding"))
+    return MESSY.spark(spark).select("id", X.decoded_fonts(t).alias("fonts"), X.expanded_ligatures(t).alias("ligatures"))
 
 
 def _hyphen_sql(t: str) -> str:

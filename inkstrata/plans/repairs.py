@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from inkstrata.functions import rejoin as R
 from inkstrata.functions import segment as G
 from inkstrata.functions import text as X
+from inkstrata.operators import assemble as A
 from inkstrata.operators import classify as C
 from inkstrata.operators import images as I
 from inkstrata.operators import index_text as W
@@ -14,6 +15,8 @@ from inkstrata.operators import noise as N
 from inkstrata.operators import quality as Q
 from inkstrata.operators import repair
 from inkstrata.operators import reports as P
+from inkstrata.operators import structure as S
+from inkstrata.operators import validate as V
 from inkstrata.plans.catalog import query
 from inkstrata.plans.fixtures import Fixture
 from inkstrata.sources import tables as T
@@ -619,3 +622,110 @@ _LISTED = "- Data source: manifest JSON (includes renders, blank/duplicate flags
 def office_indexes_written(spark, sf_dir):
     pages = OFFICE_PAGES.spark(spark).withColumn("notes", F.filter(F.split("told", ";"), lambda x: x != ""))
     return W.written_office_index(OFFICE_DOCS.spark(spark), pages)
+
+
+# ---- encodings, titles, headers, pages ----------------------------------------------------------------
+
+CODED = Fixture(_TEXT, ((1, "arm þ arm, a þ b"), (2, "f3 ð x and y2 Þ, z"), (3, "a ¼ b, 1¼ c\n- 0[4] Ref /C15"), (4, "| ¼ | x¼ |"), (5, "САТ а Re´sume´ nin´o x´y"), (6, ""), (7, None)))
+
+
+@query(
+    _rows(
+        "doc_id long, glyphs string, encoding string",
+        (1, "arm + arm, a þ b", "arm + arm, a + b"),
+        (2, "f3(x and y2), z", "f3 ð x and y2 +, z"),
+        (3, "a = b, 1¼ c\n- [4] Ref •", "a = b, 1¼ c\n- 0[4] Ref /C15"),
+        (4, "| = | x¼ |", "| = | x¼ |"),
+        (5, "САТ а Re´sume´ nin´o x´y", "CAT а Résume´ niño x´y"),
+        (6, "", ""),
+        (7, None, None),
+    )
+)
+def encodings_repaired(spark, sf_dir):
+    t = F.col("text")
+    return CODED.spark(spark).select("doc_id", X.repaired_glyphs(t).alias("glyphs"), X.repaired_encoding(t).alias("encoding"))
+
+
+@query(_rows(_TEXT, (1, "a\n\n## Methods\nb"), (2, "x\n- item"), (3, None)))
+def page_artifacts_removed(spark, sf_dir):
+    docs = Fixture(_TEXT, ((1, "a\n## 1 3\n\n 12 \nMETHODS \nb\x02"), (2, "x\n `o`  item"), (3, None)))
+    return docs.spark(spark).select("doc_id", X.repaired_extraction(F.col("text")).alias("text"))
+
+
+TITLED = Fixture("doc_id long, md string", ((1, "# Journal of Things\n## **Second** level {#id}\n# `A real title`"), (2, "# Contents\n## Systematic review\n## A *sub* title\n## Other one"), (3, "# Slide 4 of it\n### No title"), (4, "# Systematic review of X\n"), (5, "x\n" * 30 + "# Too late a title")))
+
+
+@query(_rows("doc_id long, title string, institutional boolean", (1, "A real title", False), (2, "A sub title", False), (4, "Systematic review of X", True)))
+def titles_or_subtitles(spark, sf_dir):
+    t = S.title_or_subtitle(T.lines(TITLED.spark(spark)))
+    return t.select("doc_id", "title", S.is_institutional(F.col("title")).alias("institutional"))
+
+
+_FULL = "source_file: a\nconversion_date: b\nconversion_tool: c\nfidelity_standard: d\ndocument_type: e"
+CHECKED = Fixture(
+    "doc_id long, md string",
+    (
+        (1, f"---\n{_FULL}\nsource_format: PDF\n---\n**a** *b* \\* c"),
+        (2, f"---\n{_FULL}\nsource_format: pptx\nslides: 3\n---\n* item\n* item *x"),
+        (3, "---\nsource_file: a\ndocument_type\n---\n[a](b\n[c](d) **"),
+        (4, "text [x]( )"),
+        (5, None),
+    ),
+)
+
+
+@query(
+    _rows(
+        "doc_id long, message string",
+        (1, "missing pages"),
+        (2, "odd italic marks: 1"),
+        (3, "missing conversion_date"),
+        (3, "missing conversion_tool"),
+        (3, "missing fidelity_standard"),
+        (3, "missing document_type"),
+        (3, "odd bold marks: 1"),
+        (3, "links left open: 1"),
+        (4, "no header block"),
+        (4, "links without target: 1"),
+    )
+)
+def headers_and_syntax_checked(spark, sf_dir):
+    docs = CHECKED.spark(spark)
+    return Q.header_issues(docs).unionByName(Q.syntax_issues(docs)).select("doc_id", "message")
+
+
+DRAWN = Fixture("doc_id long, page long, drawings long, area double", ((1, 1, 60, 1.0), (1, 2, 60, 0.5), (1, 3, 60, 1.0), (1, 4, None, None), (1, 5, 0, 0.0)))
+PLACED = Fixture("doc_id long, page long, image_id long, is_blank boolean, is_substantive boolean, reason string", ((1, 1, 1, True, False, "tiny"), (1, 2, 2, True, True, "large"), (1, 2, 3, None, True, "large"), (1, 4, 4, False, False, "tiny")))
+
+
+@query(_rows("doc_id long, page long, page_substantive boolean, image_id long, is_substantive boolean, reason string", (1, 1, True, 1, True, "vector_page"), (1, 2, True, 2, False, "blank"), (1, 2, True, 3, True, "large"), (1, 3, True, None, None, None), (1, 4, False, 4, False, "tiny"), (1, 5, False, None, None, None)))
+def pages_classed_by_drawings(spark, sf_dir):
+    return A.page_classes(DRAWN.spark(spark), PLACED.spark(spark))
+
+
+FLAGS = Fixture("doc_id long, pages long, flagged long", ((1, 10, 9), (2, 10, 10), (3, 9, 9), (4, 20, 8), (5, 20, 7)))
+SLIDES = Fixture("doc_id long, is_slides boolean, n_garbled long", ((1, True, 5), (2, True, 6), (4, True, 0)))
+
+
+@query(
+    _rows(
+        "doc_id long, n_pages long, rate double, is_slides boolean, wanted boolean, note string",
+        (1, 10, 0.9, True, True, "high rate expected for slides"),
+        (2, 10, 1.0, True, True, "slides with garbled output"),
+        (3, 9, 1.0, False, False, None),
+        (4, 20, 0.4, None, True, None),
+        (5, 20, 0.35, None, False, None),
+    )
+)
+def flag_rates_noted(spark, sf_dir):
+    flags = FLAGS.spark(spark).select("doc_id", F.explode(F.expr("transform(sequence(1, pages), i -> i <= flagged)")).alias("flagged"))
+    return V.flag_rate_notes(flags, SLIDES.spark(spark))
+
+
+GROUPED = Fixture("id long, context string, file string", ((1, "alpha beta", "x/deck.one.pptx"), (2, "none", "beta.pdf"), (3, "none", ""), (4, "none", None)))
+
+
+@query(_rows("id long, stem string, topic string", (1, "deck.one", "B"), (2, "beta", "B"), (3, "Unknown Document", "Uncategorised"), (4, "Unknown Document", "Uncategorised")))
+def topics_or_documents(spark, sf_dir):
+    c, f = F.col("context"), F.col("file")
+    return GROUPED.spark(spark).select("id", C.topic_or_document(c, f, None).alias("stem"), C.topic_or_document(c, f, {"A": ["gamma"], "B": ["beta"]}).alias("topic"))
